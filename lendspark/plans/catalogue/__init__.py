@@ -2,6 +2,7 @@
 
 from lendspark.plans.catalogue import (  # noqa: F401
     evaluation,
+    jobs,
     joins,
     monitoring,
     preparation,
