@@ -12,39 +12,38 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def ratio(numerator: str | Column, denominator: str | Column) -> Column:
-    """``numerator / denominator`` as double, NULL where the denominator is not positive."""
-    bottom = col(denominator).cast("double")
-    return F.when(bottom > 0, F.try_divide(col(numerator).cast("double"), bottom))
-
+def ratio(numerator: str, denominator: str) -> str:
+    """SQL for ``numerator / denominator`` as double, NULL where the denominator is not positive."""
+    return (
+        f"CASE WHEN {denominator} > 0 THEN "
+        f"CAST({numerator} AS DOUBLE) / CAST({denominator} AS DOUBLE) END"
+    )
 
-def at_least_one(c: str | Column) -> Column:
-    """``max(c, 1)``. ``greatest`` skips NULLs, so a NULL is kept NULL explicitly."""
-    return F.when(col(c).isNotNull(), F.greatest(col(c).cast("double"), F.lit(1.0)))
 
+def at_least_one(c: str) -> str:
+    """SQL for ``max(c, 1)``. ``greatest`` skips NULLs, so a NULL is kept NULL explicitly."""
+    return f"CASE WHEN {c} IS NOT NULL THEN greatest(CAST({c} AS DOUBLE), 1D) END"
 
-def valid_probability(p: str | Column) -> Column:
-    """False for NULL, NaN and anything outside [0, 1]."""
-    return F.coalesce(col(p).between(0.0, 1.0), F.lit(False))
 
+def risk_score(p: str) -> Column:
+    """0-100 score; NULL for NULL, NaN and anything outside [0, 1].
 
-def risk_score(p: str | Column) -> Column:
-    """0-100 score. ``rint`` rounds halves to even, which ``round`` does not."""
-    return F.when(valid_probability(p), F.rint(col(p) * 100.0).cast("int"))
+    ``rint`` rounds halves to even, which ``round`` does not.
+    """
+    return F.expr(f"CASE WHEN {p} BETWEEN 0 AND 1 THEN CAST(rint({p} * 100D) AS INT) END")
 
 
-def risk_level(score: str | Column) -> Column:
+def risk_level(score: str) -> Column:
     """LOW / MEDIUM / HIGH, decided on the rounded score."""
-    score = col(score)
-    return (
-        F.when(score <= LOW_MAX, "LOW")
-        .when(score <= MEDIUM_MAX, "MEDIUM")
-        .when(score > MEDIUM_MAX, "HIGH")
+    return F.expr(
+        f"CASE WHEN {score} <= {LOW_MAX} THEN 'LOW' WHEN {score} <= {MEDIUM_MAX} THEN 'MEDIUM' "
+        f"WHEN {score} > {MEDIUM_MAX} THEN 'HIGH' END"
     )
 
 
-def logistic(z: str | Column) -> Column:
-    return 1.0 / (1.0 + F.exp(-col(z)))
+def logistic(z: str) -> str:
+    """SQL for the logistic function."""
+    return f"(1D / (1D + exp(-({z}))))"
 
 
 def direction(impact: str | Column) -> Column:

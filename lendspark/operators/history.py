@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def prior_history(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    sums: dict[str, Column],
-    gap: str = "INTERVAL '1' DAY",
+    df: DataFrame, key: str, ts: str, sums: dict[str, str], gap: str = "INTERVAL '1' DAY"
 ) -> DataFrame:
-    """Sums over rows of the same key that are at least ``gap`` older.
+    """Sums (name -> SQL) over rows of the same key that are at least ``gap`` older.
 
     Returns one row per distinct ``(key, ts)``; join it back on those two
     columns. The row's own values never enter its own history.
@@ -24,28 +20,23 @@ def prior_history(
     calendar bounds, are summed along a whole key.
     """
     names = list(sums)
-    moments = df.groupBy(key, ts).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    moments = df.groupBy(key, ts).agg(*[F.expr(f"sum({e})").alias(n) for n, e in sums.items()])
     # Every moment is a fact at its own time and a question `gap` earlier.
-    fact = F.struct(
-        F.col(ts).alias("_t"),
-        F.lit(None).cast("timestamp_ntz").alias("_at"),
-        *[F.col(n).alias(n) for n in names],
-    )
-    question = F.struct(
-        (F.col(ts) - F.expr(gap)).alias("_t"),
-        F.col(ts).alias("_at"),
-        *[F.lit(None).cast(moments.schema[n].dataType).alias(n) for n in names],
-    )
-    both = (
-        moments.select(key, F.explode(F.array(fact, question)).alias("m"))
-        .select(key, "m.*")
-        .withColumn("_day", F.to_date("_t"))
+    fact = ", ".join(f"'{n}', {n}" for n in names)
+    question = ", ".join(
+        f"'{n}', CAST(NULL AS {moments.schema[n].dataType.simpleString()})" for n in names
     )
+    both = moments.selectExpr(
+        key,
+        f"""inline(array(
+              named_struct('_t', {ts}, '_at', CAST(NULL AS TIMESTAMP_NTZ), {fact}),
+              named_struct('_t', {ts} - {gap}, '_at', {ts}, {question})))""",
+    ).withColumn("_day", F.expr("to_date(_t)"))
     in_day = Window.partitionBy(key, "_day").orderBy("_t")
     answers = (
-        both.withColumns({f"_in_{n}": F.sum(n).over(in_day) for n in names})
-        .where(F.col("_at").isNotNull())
-        .select(key, "_day", F.col("_at").alias(ts), *[f"_in_{n}" for n in names])
+        both.select(key, "_day", "_at", *[F.sum(n).over(in_day).alias(f"_in_{n}") for n in names])
+        .where("_at IS NOT NULL")
+        .withColumnRenamed("_at", ts)
     )
     earlier_days = (
         Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
@@ -55,13 +46,6 @@ def prior_history(
         .agg(*[F.sum(n).alias(n) for n in names])
         .select(key, "_day", *[F.sum(n).over(earlier_days).alias(f"_before_{n}") for n in names])
     )
-    return answers.join(before_day, [key, "_day"]).select(
-        key,
-        ts,
-        *[
-            (
-                F.coalesce(F.col(f"_in_{n}"), F.lit(0)) + F.coalesce(F.col(f"_before_{n}"), F.lit(0))
-            ).alias(n)
-            for n in names
-        ],
+    return answers.join(before_day, [key, "_day"]).selectExpr(
+        key, ts, *[f"coalesce(_in_{n}, 0) + coalesce(_before_{n}, 0) AS {n}" for n in names]
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lendspark.operators.metrics import evaluation_report
 from lendspark.operators.running import grouped_quantiles, order_statistics
-from lendspark.operators.validate import Rule, applicable, any_violation, violations
+from lendspark.operators.validate import Rule, applicable, is_valid, violations
 from lendspark.schemas import PSI_FLOOR, TARGET
 
 PSI_QUANTILES = (0.10, 0.25, 0.50, 0.75, 0.90)
@@ -41,7 +41,7 @@ def error_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     rules = applicable(rules, df.columns)
     kinds = F.array_distinct(F.transform(violations(rules), lambda v: v["kind"]))
     return (
-        df.where(any_violation(rules))
+        df.where(~is_valid(rules))
         .select(violations(rules).alias("v"), kinds.alias("kinds"))
         .select(F.explode("kinds").alias("kind"), "v")
         .groupBy("kind")

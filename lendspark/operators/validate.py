@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendspark.errors import BatchSizeExceededError, DataValidationError, InvalidFeatureSchemaError
-from lendspark.functions.scalar import valid_probability
 from lendspark.schemas import (
     AGE_MAX_EXCLUSIVE,
     AGE_MIN_EXCLUSIVE,
@@ -28,48 +27,46 @@ from lendspark.schemas import (
 
 @dataclass(frozen=True)
 class Rule:
-    """``broken(column)`` is true for a violation; NULL counts as no violation."""
+    """``broken`` is SQL that is true for a violation; NULL counts as no violation."""
 
     field: str
     kind: str
-    broken: Callable[[Column], Column]
+    broken: str
     also: tuple[str, ...] = ()
 
-    def violated(self) -> Column:
-        return F.coalesce(self.broken(F.col(self.field)), F.lit(False))
-
 
 def _missing(field: str) -> Rule:
-    return Rule(field, "missing", lambda c: c.isNull())
+    return Rule(field, "missing", f"{field} IS NULL")
 
 
-def _whole_at_least(field: str, low: int) -> Rule:
-    return Rule(field, "range", lambda c: c < low)
+def _whole(field: str, broken: str) -> Rule:
+    return Rule(field, "range", broken.format(c=field))
 
 
-def _number(field: str, good: Callable[[Column], Column]) -> Rule:
-    # NaN sorts above every number, so a plain comparison would let it pass.
-    return Rule(field, "range", lambda c: ~good(c) | F.isnan(c))
+def _number(field: str, broken: str) -> Rule:
+    # NaN sorts above every number, so a lower bound alone would let it pass.
+    return Rule(field, "range", f"{broken.format(c=field)} OR isnan({field})")
 
 
 def _one_of(field: str, allowed: Sequence[str]) -> Rule:
-    return Rule(field, "category", lambda c: ~c.isin(*allowed))
+    values = ", ".join(f"'{v}'" for v in allowed)
+    return Rule(field, "category", f"{field} NOT IN ({values})")
 
 
 _VALUES = (
-    Rule("age", "range", lambda c: (c <= AGE_MIN_EXCLUSIVE) | (c >= AGE_MAX_EXCLUSIVE)),
-    _number("income", lambda c: c >= 0),
-    _number("employment_years", lambda c: c >= 0),
+    _whole("age", f"{{c}} <= {AGE_MIN_EXCLUSIVE} OR {{c}} >= {AGE_MAX_EXCLUSIVE}"),
+    _number("income", "{c} < 0"),
+    _number("employment_years", "{c} < 0"),
     _one_of("home_ownership", HOME_OWNERSHIP),
-    _number("loan_amount", lambda c: c > 0),
-    _number("interest_rate", lambda c: c >= 0),
-    _whole_at_least("term_months", 1),
+    _number("loan_amount", "{c} <= 0"),
+    _number("interest_rate", "{c} < 0"),
+    _whole("term_months", "{c} <= 0"),
     _one_of("loan_intent", LOAN_INTENT),
-    _whole_at_least("credit_history_years", 0),
-    _whole_at_least("late_payments", 0),
-    _whole_at_least("previous_defaults", 0),
-    _number("credit_utilization", lambda c: c.between(0, 1)),
-    _whole_at_least("active_credit_lines", 0),
+    _whole("credit_history_years", "{c} < 0"),
+    _whole("late_payments", "{c} < 0"),
+    _whole("previous_defaults", "{c} < 0"),
+    _number("credit_utilization", "{c} NOT BETWEEN 0 AND 1"),
+    _whole("active_credit_lines", "{c} < 0"),
 )
 #: Columns the raw training file leaves empty; training imputes them.
 MAY_BE_MISSING_IN_TRAINING = ("employment_years", "interest_rate")
@@ -80,26 +77,23 @@ TRAINING = (
 )
 LOAN_RECORD = (
     _one_of("loan_grade", LOAN_GRADE),
-    Rule("loan_status", "range", lambda c: ~c.isin(0, 1)),
+    _whole("loan_status", "{c} NOT IN (0, 1)"),
 )
 PLAUSIBLE = (
-    Rule(
-        "employment_years",
-        "implausible",
-        lambda c: c > F.col("age") - WORKING_AGE,
-        also=("age",),
-    ),
+    Rule("employment_years", "implausible", f"employment_years > age - {WORKING_AGE}", ("age",)),
 )
 EXTENDED = REQUEST + LOAN_RECORD + PLAUSIBLE
 
+_DIRECTIONS = ", ".join(f"'{d}'" for d in DIRECTION)
 OUTPUT = (
-    Rule("default_probability", "range", lambda c: ~valid_probability(c)),
-    Rule("risk_score", "range", lambda c: ~c.between(0, 100)),
+    # BETWEEN rejects NaN; NULL is an error here as well.
+    Rule("default_probability", "range", "NOT coalesce(default_probability BETWEEN 0 AND 1, false)"),
+    _whole("risk_score", "{c} NOT BETWEEN 0 AND 100"),
     _one_of("risk_level", RISK_LEVEL),
     Rule(
         "explanation",
         "category",
-        lambda c: F.exists(c, lambda e: ~F.coalesce(e["direction"].isin(*DIRECTION), F.lit(False))),
+        f"exists(explanation, e -> NOT coalesce(e.direction IN ({_DIRECTIONS}), false))",
     ),
 )
 
@@ -112,32 +106,28 @@ def applicable(rules: Iterable[Rule], columns: Iterable[str]) -> list[Rule]:
 
 def violations(rules: Iterable[Rule]) -> Column:
     """All violations of a row as ``array<struct<field, kind>>``, in rule order."""
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(r.violated(), F.struct(F.lit(r.field).alias("field"), F.lit(r.kind).alias("kind")))
-                for r in rules
-            ]
-        )
+    found = ", ".join(
+        f"CASE WHEN {r.broken} THEN named_struct('field', '{r.field}', 'kind', '{r.kind}') END"
+        for r in rules
     )
+    return F.expr(f"array_compact(array({found}))")
 
 
-def any_violation(rules: Iterable[Rule]) -> Column:
-    bad = F.lit(False)
-    for r in rules:
-        bad = bad | r.violated()
-    return bad
+def is_valid(rules: Iterable[Rule]) -> Column:
+    """No rule is broken. One CASE, so evaluation stops at the first broken rule."""
+    branches = " ".join(f"WHEN {r.broken} THEN false" for r in rules)
+    return F.expr(f"CASE {branches} ELSE true END") if branches else F.lit(True)
 
 
 def valid_rows(df: DataFrame, rules: Iterable[Rule] = REQUEST) -> DataFrame:
-    return df.where(~any_violation(applicable(rules, df.columns)))
+    return df.where(is_valid(applicable(rules, df.columns)))
 
 
 def quarantine_split(df: DataFrame, rules: Iterable[Rule] = REQUEST) -> tuple[DataFrame, DataFrame]:
     """``(valid, quarantined)``; quarantined rows carry ``violations``."""
     rules = applicable(rules, df.columns)
-    bad = any_violation(rules)
-    return df.where(~bad), df.where(bad).withColumn("violations", violations(rules))
+    good = is_valid(rules)
+    return df.where(good), df.where(~good).withColumn("violations", violations(rules))
 
 
 def row_violations(df: DataFrame, key: str, rules: Iterable[Rule] = REQUEST) -> DataFrame:
@@ -149,21 +139,9 @@ def row_violations(df: DataFrame, key: str, rules: Iterable[Rule] = REQUEST) ->
 def rule_counts(df: DataFrame, rules: Iterable[Rule] = REQUEST) -> DataFrame:
     """Violations per rule, rules without any included. One pass, one output row per rule."""
     rules = applicable(rules, df.columns)
-    wide = df.agg(*[F.count(F.when(r.violated(), 1)).alias(f"r{i}") for i, r in enumerate(rules)])
-    return wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(r.field).alias("field"),
-                        F.lit(r.kind).alias("kind"),
-                        F.col(f"r{i}").alias("n"),
-                    )
-                    for i, r in enumerate(rules)
-                ]
-            )
-        )
-    )
+    wide = df.agg(*[F.expr(f"count_if({r.broken})").alias(f"r{i}") for i, r in enumerate(rules)])
+    rows = ", ".join(f"'{r.field}', '{r.kind}', r{i}" for i, r in enumerate(rules))
+    return wide.selectExpr(f"stack({len(rules)}, {rows}) AS (field, kind, n)")
 
 
 def strict_gate(
@@ -177,8 +155,8 @@ def strict_gate(
     rules = applicable(rules, df.columns)
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(any_violation(rules), 1)).alias("bad"),
-        *[F.count(F.when(r.violated(), 1)).alias(f"r{i}") for i, r in enumerate(rules)],
+        F.count_if(~is_valid(rules)).alias("bad"),
+        *[F.expr(f"count_if({r.broken})").alias(f"r{i}") for i, r in enumerate(rules)],
     ).first()
     if row["bad"] > max_bad_share * row["rows"]:
         broken = ", ".join(
@@ -188,35 +166,30 @@ def strict_gate(
     return df
 
 
-def bad_uuid(c: str) -> Column:
-    return ~F.coalesce(F.col(c).rlike(UUID_PATTERN), F.lit(False))
+def uuid_rule(field: str) -> Rule:
+    return Rule(field, "format", f"NOT coalesce({field} RLIKE '{UUID_PATTERN}', false)")
 
 
-def decimal_misfit(c: str, precision: int, scale: int) -> Column:
-    """The value does not fit ``DECIMAL(precision, scale)``."""
-    fits = F.col(c).try_cast(T.DecimalType(precision, scale))
-    return F.col(c).isNotNull() & fits.isNull()
+def decimal_rule(field: str, precision: int, scale: int) -> Rule:
+    """The value must fit ``DECIMAL(precision, scale)``."""
+    fits = f"try_cast({field} AS DECIMAL({precision}, {scale}))"
+    return Rule(field, "decimal", f"{field} IS NOT NULL AND {fits} IS NULL")
 
 
-def too_long(c: str, limit: int) -> Column:
-    return F.coalesce(F.length(c) > limit, F.lit(False))
+def length_rule(field: str, limit: int) -> Rule:
+    return Rule(field, "length", f"length({field}) > {limit}")
 
 
 def missing_at_input(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULL and NaN counts of model input columns, one row per column."""
     types = dict(df.dtypes)
     gone = {
-        c: (F.col(c).isNull() | F.isnan(c)) if types[c] in ("double", "float") else F.col(c).isNull()
+        c: f"{c} IS NULL OR isnan({c})" if types[c] in ("double", "float") else f"{c} IS NULL"
         for c in columns
     }
-    wide = df.agg(*[F.count(F.when(g, 1)).alias(c) for c, g in gone.items()])
-    return wide.select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_missing")) for c in columns]
-            )
-        )
-    )
+    wide = df.agg(*[F.expr(f"count_if({g})").alias(c) for c, g in gone.items()])
+    rows = ", ".join(f"'{c}', {c}" for c in columns)
+    return wide.selectExpr(f"stack({len(columns)}, {rows}) AS (column, n_missing)")
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

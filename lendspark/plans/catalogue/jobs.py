@@ -172,12 +172,13 @@ def report_sinks(spark, sf_dir):
 
 # ----------------------------------------------------------------------- models
 def _training_rows(spark, sf_dir):
-    """Valid training rows with split and fold, written once: every fit reads them many times."""
+    """Valid training rows with split and fold. The rows are written once, since every
+    fit reads them many times; split and fold are projections over what is stored."""
     rows = valid_rows(applications(spark, sf_dir), TRAINING)
-    rows = stratified_folds(stratified_split(rows, "application_id"), "application_id")
     path = scratch_path(spark, "training")
     rows.write.parquet(path)
-    return spark.read.parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return stratified_folds(stratified_split(stored, "application_id"), "application_id")
 
 
 def _part(rows, name):

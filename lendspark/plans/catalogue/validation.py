@@ -129,7 +129,7 @@ def uuid_check(spark, sf_dir):
     a = applications(spark, sf_dir, history=False).select("application_id")
     whole = as_uuid(F.md5(F.col("application_id").cast("string")))
     ids = a.withColumn("id", F.when(F.col("application_id") % 20 == 0, F.substring(whole, 1, 30)).otherwise(whole))
-    return ids.where(val.bad_uuid("id")).select("application_id")
+    return val.row_violations(ids, "application_id", [val.uuid_rule("id")]).select("application_id")
 
 
 @query(f"""
@@ -175,10 +175,7 @@ def decimal_fit(spark, sf_dir):
         .otherwise(F.col("loan_amount"))
         .alias("amount"),
     )
-    rules = [
-        val.Rule(c, "decimal", lambda _, c=c: val.decimal_misfit(c, *DECIMAL_LIMITS[c]))
-        for c in ("loan_percent_income", "amount")
-    ]
+    rules = [val.decimal_rule(c, *DECIMAL_LIMITS[c]) for c in ("loan_percent_income", "amount")]
     return val.row_violations(a, "application_id", rules).select("application_id", "field")
 
 
@@ -194,10 +191,7 @@ def length_limits(spark, sf_dir):
         F.concat("name", F.repeat(F.lit("x"), (F.col("part") % 200).cast("int"))).alias("name"),
         F.concat("version", F.repeat(F.lit("0"), (F.col("part") % 40).cast("int"))).alias("version"),
     )
-    rules = [
-        val.Rule(c, "length", lambda _, c=c: val.too_long(c, LENGTH_LIMITS["models"][c]))
-        for c in ("name", "version")
-    ]
+    rules = [val.length_rule(c, LENGTH_LIMITS["models"][c]) for c in ("name", "version")]
     return val.row_violations(rows, "part", rules).select("part", "field")
 
 

@@ -13,11 +13,49 @@ from lendspark.functions.features import add_derived_features
 from lendspark.functions.scalar import logistic
 from lendspark.operators.history import prior_history
 from lendspark.operators.validate import TRAINING, valid_rows
-from lendspark.schemas import LOAN_GRADE
+
+
+#: Declared schemas of the test tables: no footer has to be read to plan a query.
+TABLES = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: One application per order, in integer arithmetic wherever that is possible.
+APPLICATION_COLUMNS = (
+    "o_orderkey AS application_id",
+    "o_custkey AS customer_id",
+    "o_orderdate AS application_ts",
+    "CAST(c_custkey % 63 + 18 AS INT) AS age",
+    "round(c_acctbal * 1200D, 0) AS income",
+    "CASE WHEN c_custkey % 29 <> 0 THEN CAST(c_custkey % 41 AS DOUBLE) / 2D END AS employment_years",
+    """CASE WHEN c_custkey % 97 = 0 THEN 'PALACE' WHEN c_mktsegment = 'BUILDING' THEN 'OWN'
+         WHEN c_mktsegment = 'FURNITURE' THEN 'MORTGAGE' WHEN c_mktsegment = 'MACHINERY' THEN 'OTHER'
+         ELSE 'RENT' END AS home_ownership""",
+    "o_totalprice AS loan_amount",
+    "CASE WHEN o_orderkey % 37 <> 0 THEN CAST(o_orderkey % 180 AS DOUBLE) / 10D + 5D END AS interest_rate",
+    "CASE o_orderkey % 3 WHEN 0 THEN 36 WHEN 1 THEN 60 END AS term_months",
+    """elt(CAST(o_orderkey % 6 AS INT) + 1, 'PERSONAL', 'EDUCATION', 'MEDICAL', 'VENTURE',
+         'HOMEIMPROVEMENT', 'DEBTCONSOLIDATION') AS loan_intent""",
+    "elt(CAST(o_orderkey % 7 AS INT) + 1, 'A', 'B', 'C', 'D', 'E', 'F', 'G') AS loan_grade",
+    "c_custkey % 30 + 1 AS credit_history_years",
+    "CAST(o_orderkey % 101 AS DOUBLE) / 100D AS credit_utilization",
+    "CAST(c_custkey % 5 = 0 AS INT) AS previous_defaults",
+    """CAST(coalesce(n_returned, 0) >= 3 OR (o_totalprice > greatest(c_acctbal * 1200D, 1D) * 0.05D
+         AND o_orderkey % 5 < 2) AS INT) AS loan_status""",
+    "o_orderstatus = 'O' AS _open",
+)
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,37 +70,7 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         returned, F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
-    key, cust = F.col("o_orderkey"), F.col("c_custkey")
-    earned = F.col("c_acctbal") * 1200.0
-    segment = F.col("c_mktsegment")
-    defaulted = (F.coalesce(F.col("n_returned"), F.lit(0)) >= 3) | (
-        (F.col("o_totalprice") > F.greatest(earned, F.lit(1.0)) * 0.05) & (key % 5 < 2)
-    )
-    intents = ["PERSONAL", "EDUCATION", "MEDICAL", "VENTURE", "HOMEIMPROVEMENT", "DEBTCONSOLIDATION"]
-    return joined.select(
-        key.alias("application_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").alias("application_ts"),
-        (cust % 63 + 18).cast("int").alias("age"),
-        F.round(earned, 0).alias("income"),
-        F.when(cust % 29 != 0, (cust % 41).cast("double") / 2.0).alias("employment_years"),
-        F.when(cust % 97 == 0, "PALACE")
-        .when(segment == "BUILDING", "OWN")
-        .when(segment == "FURNITURE", "MORTGAGE")
-        .when(segment == "MACHINERY", "OTHER")
-        .otherwise("RENT")
-        .alias("home_ownership"),
-        F.col("o_totalprice").alias("loan_amount"),
-        F.when(key % 37 != 0, (key % 180).cast("double") / 10.0 + 5.0).alias("interest_rate"),
-        F.when(key % 3 == 0, 36).when(key % 3 == 1, 60).alias("term_months"),
-        F.get(F.array(*[F.lit(i) for i in intents]), (key % 6).cast("int")).alias("loan_intent"),
-        F.get(F.array(*[F.lit(g) for g in LOAN_GRADE]), (key % 7).cast("int")).alias("loan_grade"),
-        (cust % 30 + 1).alias("credit_history_years"),
-        ((key % 101).cast("double") / 100.0).alias("credit_utilization"),
-        (cust % 5 == 0).cast("int").alias("previous_defaults"),
-        defaulted.cast("int").alias("loan_status"),
-        (F.col("o_orderstatus") == "O").alias("_open"),
-    )
+    return joined.selectExpr(*APPLICATION_COLUMNS)
 
 
 def applications(spark: SparkSession, sf_dir: str, history: bool = True) -> DataFrame:
@@ -75,16 +83,16 @@ def applications(spark: SparkSession, sf_dir: str, history: bool = True) -> Data
         "customer_id",
         "application_ts",
         {
-            "late_payments": F.col("loan_status").cast("long"),
-            "active_credit_lines": F.col("_open").cast("long"),
-            "total_debt": F.when(F.col("_open"), F.col("loan_amount").cast("decimal(14,2)")),
+            "late_payments": "CAST(loan_status AS BIGINT)",
+            "active_credit_lines": "CAST(_open AS BIGINT)",
+            "total_debt": "CASE WHEN _open THEN CAST(loan_amount AS DECIMAL(14,2)) END",
         },
     )
-    return base.join(past, ["customer_id", "application_ts"], "left").select(
+    return base.join(past, ["customer_id", "application_ts"], "left").selectExpr(
         *[c for c in base.columns if c != "_open"],
-        F.col("late_payments").cast("int").alias("late_payments"),
-        F.col("active_credit_lines").cast("int").alias("active_credit_lines"),
-        F.col("total_debt").cast("double").alias("total_debt"),
+        "CAST(late_payments AS INT) AS late_payments",
+        "CAST(active_credit_lines AS INT) AS active_credit_lines",
+        "CAST(total_debt AS DOUBLE) AS total_debt",
     )
 
 
@@ -98,25 +106,25 @@ SCORECARD = (
 )
 
 
+#: Scorecard inputs with their stand-ins for NULL.
+SCORECARD_INPUTS = {
+    "loan_to_income": "least(coalesce(loan_to_income, 1D), 1D)",
+    "interest_rate": "coalesce(interest_rate, 11D)",
+    "late_payments": "CAST(late_payments AS DOUBLE)",
+    "credit_utilization": "credit_utilization",
+}
+
+
 def scorecard_inputs(df: DataFrame) -> DataFrame:
-    """Scorecard features with their stand-ins for NULL, as ``x_<feature>`` columns."""
-    return df.withColumns(
-        {
-            "x_loan_to_income": F.least(F.coalesce(F.col("loan_to_income"), F.lit(1.0)), F.lit(1.0)),
-            "x_interest_rate": F.coalesce(F.col("interest_rate"), F.lit(11.0)),
-            "x_late_payments": F.col("late_payments").cast("double"),
-            "x_credit_utilization": F.col("credit_utilization"),
-        }
-    )
+    """Add the scorecard's inputs as ``x_<feature>`` columns."""
+    return df.withColumns({f"x_{n}": F.expr(sql) for n, sql in SCORECARD_INPUTS.items()})
 
 
 def with_scorecard(df: DataFrame) -> DataFrame:
     """Add ``p``, the scorecard's probability to two decimals (so that ties occur)."""
-    rows = scorecard_inputs(add_derived_features(df))
-    z = F.lit(SCORECARD_INTERCEPT)
-    for name, centre, weight in SCORECARD:
-        z = z + (F.col(f"x_{name}") - centre) * weight
-    return rows.withColumn("p", F.round(logistic(z), 2)).drop(*[f"x_{n}" for n, _, _ in SCORECARD])
+    terms = "".join(f" + ({SCORECARD_INPUTS[n]} - {centre}D) * {w}D" for n, centre, w in SCORECARD)
+    z = f"{SCORECARD_INTERCEPT}D{terms}"
+    return add_derived_features(df).withColumn("p", F.expr(f"round({logistic(z)}, 2)"))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
