@@ -5,19 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A key with more rows than this is not sorted in one task.
+ONE_TASK_ROWS = 1_000_000
 
-def prior_history(
-    df: DataFrame, key: str, ts: str, sums: dict[str, str], gap: str = "INTERVAL '1' DAY"
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the most frequent key (reads the key column, combines before the shuffle)."""
+    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+
+
+def with_history(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    sums: dict[str, str],
+    gap: str = "INTERVAL '1' DAY",
+    limit: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Sums (name -> SQL) over rows of the same key that are at least ``gap`` older.
+    """Add sums (name -> SQL) over rows of the same key that are at least ``gap`` older.
+
+    The row's own values never enter its own history; without a past the sum is 0.
 
-    Returns one row per distinct ``(key, ts)``; join it back on those two
-    columns. The row's own values never enter its own history.
+    When no key has more than ``limit`` rows this is one window: one shuffle, no
+    join. Beyond that, a hot key would be sorted in a single task, so running sums
+    are taken per (key, day) and joined back (``history_by_day``).
+    """
+    if largest_group(df, key) <= limit:
+        over = (
+            f"OVER (PARTITION BY {key} ORDER BY {ts} "
+            f"RANGE BETWEEN UNBOUNDED PRECEDING AND {gap} PRECEDING)"
+        )
+        return df.withColumns(
+            {n: F.expr(f"coalesce(sum({e}) {over}, 0)") for n, e in sums.items()}
+        )
+    past = history_by_day(df, key, ts, sums, gap)
+    return df.join(past, [key, ts], "left").select(*df.columns, *sums)
+
+
+def history_by_day(
+    df: DataFrame, key: str, ts: str, sums: dict[str, str], gap: str = "INTERVAL '1' DAY"
+) -> DataFrame:
+    """The same sums, one row per distinct ``(key, ts)``, with no task bound to one key.
 
-    A plain window over the key would sort a hot key's whole past in one task.
-    Here rows first collapse to one per ``(key, ts)`` (map-side), then running
-    sums are taken per ``(key, day)``, and only day totals, whose number the
-    calendar bounds, are summed along a whole key.
+    Rows first collapse to one per ``(key, ts)`` (map-side), then running sums are
+    taken per ``(key, day)``, and only day totals, whose number the calendar
+    bounds, are summed along a whole key.
     """
     names = list(sums)
     moments = df.groupBy(key, ts).agg(*[F.expr(f"sum({e})").alias(n) for n, e in sums.items()])

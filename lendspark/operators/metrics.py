@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.operators.running import running_totals, value_edges
@@ -19,9 +19,8 @@ from lendspark.schemas import PROBABILITY_CLIP, TARGET, THRESHOLDS
 def score_table(
     df: DataFrame, label: str = TARGET, p: str = "p", by: Sequence[str] = ()
 ) -> DataFrame:
-    y = F.col(label)
     return df.groupBy(*by, F.col(p).alias("score")).agg(
-        F.count(F.when(y == 1, 1)).alias("pos"), F.count(F.when(y == 0, 1)).alias("neg")
+        F.expr(f"count_if({label} = 1) AS pos"), F.expr(f"count_if({label} = 0) AS neg")
     )
 
 
@@ -31,69 +30,56 @@ def _ranked(df: DataFrame, label: str, p: str, by: Sequence[str], edges) -> Data
     return running_totals(score_table(df, label, p, by), "score", ["pos", "neg"], by, edges)
 
 
-def _roc_auc() -> Column:
-    """Share of (positive, negative) pairs in the right order, ties counted half."""
-    won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
-    return F.try_divide(won, F.max("pos_total").cast("double") * F.max("neg_total"))
+#: Share of (positive, negative) pairs in the right order, ties counted half.
+ROC_AUC = """try_divide(sum(pos * (neg_below + neg / 2D)),
+  CAST(max(pos_total) AS DOUBLE) * max(neg_total))"""
+#: Precision at each score that adds recall, weighted by the recall it adds.
+AVERAGE_PRECISION = """try_divide(
+  sum(pos * ((pos_total - pos_below) / (pos_total - pos_below + neg_total - neg_below))),
+  CAST(max(pos_total) AS DOUBLE))"""
+BRIER = "try_divide(sum(pos * (1D - score) * (1D - score) + neg * score * score), sum(pos + neg))"
+_CLIPPED = f"greatest(least(score, 1D - {PROBABILITY_CLIP}D), {PROBABILITY_CLIP}D)"
+LOG_LOSS = f"try_divide(-sum(pos * ln({_CLIPPED}) + neg * ln(1D - {_CLIPPED})), sum(pos + neg))"
 
 
-def _average_precision() -> Column:
-    """Precision at each score that adds recall, weighted by the recall it adds."""
-    hits = F.col("pos_total") - F.col("pos_below")
-    taken = hits + F.col("neg_total") - F.col("neg_below")
-    return F.try_divide(F.sum(F.col("pos") * (hits / taken)), F.max("pos_total").cast("double"))
-
-
-def _count_metrics(threshold: float) -> dict[str, Column]:
-    above = F.col("score") >= threshold
-    tp = F.sum(F.when(above, F.col("pos")).otherwise(0)).cast("double")
-    picked = F.sum(F.when(above, F.col("pos") + F.col("neg")).otherwise(0)).cast("double")
-    pos = F.sum("pos").cast("double")
+def _count_metrics(threshold: float) -> dict[str, str]:
+    """Precision, recall and F1 when scores from ``threshold`` up count as positive."""
+    above = f"FILTER (WHERE score >= {float(threshold)}D)"
+    tp = f"CAST(coalesce(sum(pos) {above}, 0) AS DOUBLE)"
+    picked = f"CAST(coalesce(sum(pos + neg) {above}, 0) AS DOUBLE)"
     return {
-        "precision": F.try_divide(tp, picked),
-        "recall": F.try_divide(tp, pos),
-        "f1": F.try_divide(tp * 2.0, picked + pos),
+        "precision": f"try_divide({tp}, {picked})",
+        "recall": f"try_divide({tp}, CAST(sum(pos) AS DOUBLE))",
+        "f1": f"try_divide({tp} * 2D, {picked} + sum(pos))",
     }
 
 
-def _log_loss() -> Column:
-    q = F.greatest(F.least(F.col("score"), F.lit(1 - PROBABILITY_CLIP)), F.lit(PROBABILITY_CLIP))
-    loss = F.sum(F.col("pos") * F.log(q) + F.col("neg") * F.log(1.0 - q))
-    return F.try_divide(-loss, F.sum(F.col("pos") + F.col("neg")).cast("double"))
-
-
-def _brier() -> Column:
-    s = F.col("score")
-    gap = F.sum(F.col("pos") * (1.0 - s) * (1.0 - s) + F.col("neg") * s * s)
-    return F.try_divide(gap, F.sum(F.col("pos") + F.col("neg")).cast("double"))
-
-
-def _round(cols: dict[str, Column], by: Sequence[str], table: DataFrame) -> DataFrame:
-    return table.groupBy(*by).agg(*[F.round(c, 6).alias(n) for n, c in cols.items()])
+def _summary(table: DataFrame, by: Sequence[str], cols: dict[str, str]) -> DataFrame:
+    return table.groupBy(*by).agg(*[F.expr(f"round({c}, 6) AS {n}") for n, c in cols.items()])
 
 
 def roc_auc(df, label: str = TARGET, p: str = "p", by: Sequence[str] = (), edges=None) -> DataFrame:
-    return _round({"roc_auc": _roc_auc()}, by, _ranked(df, label, p, by, edges))
+    return _summary(_ranked(df, label, p, by, edges), by, {"roc_auc": ROC_AUC})
 
 
 def average_precision(
     df, label: str = TARGET, p: str = "p", by: Sequence[str] = (), edges=None
 ) -> DataFrame:
-    return _round({"pr_auc": _average_precision()}, by, _ranked(df, label, p, by, edges))
+    return _summary(_ranked(df, label, p, by, edges), by, {"pr_auc": AVERAGE_PRECISION})
 
 
 def precision_recall_f1(
     df, label: str = TARGET, p: str = "p", by: Sequence[str] = (), threshold: float = 0.5
 ) -> DataFrame:
-    return _round(_count_metrics(threshold), by, score_table(df, label, p, by))
+    return _summary(score_table(df, label, p, by), by, _count_metrics(threshold))
 
 
 def log_loss(df, label: str = TARGET, p: str = "p", by: Sequence[str] = ()) -> DataFrame:
-    return _round({"log_loss": _log_loss()}, by, score_table(df, label, p, by))
+    return _summary(score_table(df, label, p, by), by, {"log_loss": LOG_LOSS})
 
 
 def brier_score(df, label: str = TARGET, p: str = "p", by: Sequence[str] = ()) -> DataFrame:
-    return _round({"brier_score": _brier()}, by, score_table(df, label, p, by))
+    return _summary(score_table(df, label, p, by), by, {"brier_score": BRIER})
 
 
 def evaluation_report(
@@ -105,16 +91,16 @@ def evaluation_report(
     edges=None,
 ) -> DataFrame:
     """All seven metrics, one row per group, from a single reduction of the data."""
-    return _round(
+    return _summary(
+        _ranked(df, label, p, by, edges),
+        by,
         {
-            "roc_auc": _roc_auc(),
-            "pr_auc": _average_precision(),
+            "roc_auc": ROC_AUC,
+            "pr_auc": AVERAGE_PRECISION,
             **_count_metrics(threshold),
-            "log_loss": _log_loss(),
-            "brier_score": _brier(),
+            "log_loss": LOG_LOSS,
+            "brier_score": BRIER,
         },
-        by,
-        _ranked(df, label, p, by, edges),
     )
 
 
@@ -142,33 +128,21 @@ def threshold_sweep(
 ) -> DataFrame:
     """Precision, recall and F1 per threshold: one pass, no copy of the rows per threshold."""
     wide = df.agg(
-        F.count(F.when(F.col(label) == 1, 1)).alias("pos"),
+        F.expr(f"count_if({label} = 1) AS pos"),
         *[
-            F.count(F.when((F.col(p) >= t) & (F.col(label) == 1), 1)).alias(f"tp{i}")
+            F.expr(f"count_if({p} >= {float(t)}D AND {label} = 1) AS tp{i}")
             for i, t in enumerate(thresholds)
         ],
-        *[F.count(F.when(F.col(p) >= t, 1)).alias(f"picked{i}") for i, t in enumerate(thresholds)],
+        *[F.expr(f"count_if({p} >= {float(t)}D) AS picked{i}") for i, t in enumerate(thresholds)],
     )
-    long = wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(float(t)).alias("threshold"),
-                        F.col(f"tp{i}").cast("double").alias("tp"),
-                        F.col(f"picked{i}").cast("double").alias("picked"),
-                        F.col("pos").cast("double").alias("pos"),
-                    )
-                    for i, t in enumerate(thresholds)
-                ]
-            )
-        )
-    )
-    return long.select(
+    rows = ", ".join(f"{float(t)}D, tp{i}, picked{i}, pos" for i, t in enumerate(thresholds))
+    return wide.selectExpr(
+        f"stack({len(thresholds)}, {rows}) AS (threshold, tp, picked, pos)"
+    ).selectExpr(
         "threshold",
-        F.round(F.try_divide("tp", "picked"), 6).alias("precision"),
-        F.round(F.try_divide("tp", "pos"), 6).alias("recall"),
-        F.round(F.try_divide(F.col("tp") * 2.0, F.col("picked") + F.col("pos")), 6).alias("f1"),
+        "round(try_divide(CAST(tp AS DOUBLE), picked), 6) AS precision",
+        "round(try_divide(CAST(tp AS DOUBLE), pos), 6) AS recall",
+        "round(try_divide(tp * 2D, picked + pos), 6) AS f1",
     )
 
 
@@ -186,14 +160,9 @@ FOLD_METRICS = ("roc_auc", "pr_auc", "f1", "precision", "recall", "log_loss")
 def fold_metrics(df, label: str = TARGET, p: str = "p", fold: str = "fold") -> DataFrame:
     """Metrics per fold, summarised as mean and sample deviation per metric."""
     report = evaluation_report(df, label, p, [fold])
+    rows = ", ".join(f"'{m}', {m}" for m in FOLD_METRICS)
     return (
-        report.select(
-            F.inline(
-                F.array(
-                    *[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in FOLD_METRICS]
-                )
-            )
-        )
+        report.selectExpr(f"stack({len(FOLD_METRICS)}, {rows}) AS (metric, value)")
         .groupBy("metric")
         .agg(
             F.round(F.avg("value"), 6).alias("mean"),

@@ -21,19 +21,16 @@ def value_edges(
 ) -> list[float]:
     """Cut points that split the values into even parts; empty when one part is enough.
 
-    One aggregation over a single column, no shuffle of rows. The result is at
-    most ``MAX_PARTS`` numbers.
+    Aggregations over a single column, no shuffle of rows. The result is at most
+    ``MAX_PARTS`` numbers.
     """
+    if df.agg(F.approx_count_distinct(value)).first()[0] <= limit:
+        return []
     if parts is None:
         parts = min(MAX_PARTS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     grid = [i / parts for i in range(1, parts)]
-    found = df.agg(
-        F.approx_count_distinct(value).alias("n"),
-        F.percentile_approx(F.col(value).cast("double"), grid, ACCURACY).alias("edges"),
-    ).first()
-    if found["n"] <= limit or not found["edges"]:
-        return []
-    return sorted(set(found["edges"]))
+    edges = df.agg(F.percentile_approx(F.col(value).cast("double"), grid, ACCURACY)).first()[0]
+    return sorted(set(edges or []))
 
 
 def running_totals(
@@ -103,21 +100,26 @@ def order_statistics(
     probs = {c: sorted(set(ps)) for c, ps in wanted.items()}
     clean = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
     df = df.select(*[clean[c].alias(c) for c in columns])
-    slack = 4 / ACCURACY
     first = []
     for i, c in enumerate(columns):
         first += [
-            F.count(c).alias(f"n{i}"),
-            F.approx_count_distinct(c).alias(f"d{i}"),
-            F.min(c).alias(f"min{i}"),
-            F.max(c).alias(f"max{i}"),
-            F.percentile_approx(
-                c,
-                [min(max(p + s, 0.0), 1.0) for p in probs[c] for s in (-slack, slack)],
-                ACCURACY,
-            ).alias(f"q{i}"),
+            F.expr(f"count({c}) AS n{i}"),
+            F.expr(f"approx_count_distinct({c}) AS d{i}"),
+            F.expr(f"min({c}) AS min{i}"),
+            F.expr(f"max({c}) AS max{i}"),
         ]
-    stats = df.agg(*first).first()
+    stats = df.agg(*first).first().asDict()
+    slack = 4 / ACCURACY
+    large = [i for i, c in enumerate(columns) if stats[f"d{i}"] > limit]
+    if large:
+        around = {
+            i: [min(max(p + s, 0.0), 1.0) for p in probs[columns[i]] for s in (-slack, slack)]
+            for i in large
+        }
+        found = df.agg(
+            *[F.percentile_approx(columns[i], at, ACCURACY).alias(f"q{i}") for i, at in around.items()]
+        ).first()
+        stats.update(found.asDict())
 
     ranks: dict[tuple[str, float], tuple[int, int, float]] = {}
     brackets: dict[tuple[str, float], tuple[float, float]] = {}
@@ -134,10 +136,10 @@ def order_statistics(
             else:
                 k = max(_floor_share(n, p), 1) - 1
                 ranks[c, p] = (k, k, 0.0)
-            if stats[f"d{i}"] <= limit:
-                brackets[c, p] = (stats[f"min{i}"], stats[f"max{i}"])
-            else:
+            if i in large:
                 brackets[c, p] = (stats[f"q{i}"][2 * j], stats[f"q{i}"][2 * j + 1])
+            else:
+                brackets[c, p] = (stats[f"min{i}"], stats[f"max{i}"])
     open_ends = {c: (stats[f"min{i}"], stats[f"max{i}"]) for i, c in enumerate(columns)}
     todo = dict(brackets)
     while todo:
@@ -162,14 +164,13 @@ def _pick(df, brackets, ranks, open_ends):
     """Values at the two ranks of every bracket; None where a rank lies outside."""
     distinct = sorted({(c, lo, hi) for (c, _), (lo, hi) in brackets.items()})
     index = {b: w for w, b in enumerate(distinct)}
-    inside = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(c).between(lo, hi), F.struct(F.lit(w).alias("w"), F.col(c).alias("v")))
-                for (c, lo, hi), w in index.items()
-            ]
-        )
+    entries = ", ".join(
+        f"CASE WHEN {c} BETWEEN CAST('{lo!r}' AS DOUBLE) AND CAST('{hi!r}' AS DOUBLE) THEN named_struct('w', {w}, 'v', {c}) END"
+        if (lo, hi) != open_ends[c]
+        else f"CASE WHEN {c} IS NOT NULL THEN named_struct('w', {w}, 'v', {c}) END"
+        for (c, lo, hi), w in index.items()
     )
+    inside = F.expr(f"array_compact(array({entries}))")
     below = {w: 0 for w in index.values()}
     counted = [(c, lo, w) for (c, lo, _), w in index.items() if lo > open_ends[c][0]]
     if counted:

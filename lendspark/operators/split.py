@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.operators.running import order_statistics
@@ -35,22 +35,19 @@ def stratified_cuts(
     The result, a few strings per class, is the split: it needs no data to apply.
     """
     rows = df.select(F.col(label).alias("label"), seeded_hash(key, seed).alias("h"))
-    rows = rows.withColumn("slice", F.substring("h", 1, PREFIX_DIGITS))
-    upto = Window.partitionBy("label").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("label")
-    ranks = F.array(*[F.struct(F.lit(q).alias("q")) for q in percents])
+    rows = rows.withColumn("slice", F.expr(f"substr(h, 1, {PREFIX_DIGITS})"))
+    through = "sum(n) OVER (PARTITION BY label ORDER BY slice ROWS UNBOUNDED PRECEDING)"
+    cuts_wanted = ", ".join(str(q) for q in percents)
     slices = (
         rows.groupBy("label", "slice")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("through", F.sum("n").over(upto))
-        .withColumn("size", F.sum("n").over(whole))
-        .withColumn("cut", F.explode(ranks))
-        .withColumn("rank", F.expr("(size * cut.q) div 100"))
-        .where((F.col("through") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("through")))
-        .select(
-            "label", "slice", F.col("cut.q").alias("q"),
-            (F.col("rank") - F.col("through") + F.col("n")).alias("k"),
+        .agg(F.expr("count(1) AS n"))
+        .selectExpr(
+            "*", f"{through} AS through", "sum(n) OVER (PARTITION BY label) AS size"
         )
+        .selectExpr("*", f"explode(array({cuts_wanted})) AS q")
+        .selectExpr("label", "slice", "q", "(size * q) div 100 AS rank", "through", "through - n AS before")
+        .where("before < rank AND rank <= through")
+        .selectExpr("label", "slice", "q", "rank - before AS k")
         .limit(MAX_CLASSES * len(percents) + 1)
         .collect()
     )
@@ -58,43 +55,45 @@ def stratified_cuts(
         raise ValueError(f"column {label} has more than {MAX_CLASSES} classes")
     if not slices:
         return {}
-    wanted = F.lit(False)
-    for r in slices:
-        wanted = wanted | (F.col("label").eqNullSafe(r["label"]) & (F.col("slice") == r["slice"]))
-    inside = Window.partitionBy("label", "slice").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    # The few slices that hold a rank, as a literal relation: (label, slice, q, k).
+    kind = rows.schema["label"].dataType.simpleString()
+    wanted = df.sparkSession.createDataFrame(slices, f"label {kind}, slice string, q int, k bigint")
+    in_slice = "sum(n) OVER (PARTITION BY label, slice ORDER BY h ROWS UNBOUNDED PRECEDING)"
     picked = (
-        rows.where(wanted)
+        rows.where(F.col("slice").isin(sorted({r["slice"] for r in slices})))
         .groupBy("label", "slice", "h")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("through", F.sum("n").over(inside))
+        .agg(F.expr("count(1) AS n"))
+        .selectExpr("label", "slice", "h", f"{in_slice} AS through", "n")
     )
-    hit = F.lit(False)
-    for r in slices:
-        hit = hit | (
-            F.col("label").eqNullSafe(r["label"])
-            & (F.col("slice") == r["slice"])
-            & (F.col("through") - F.col("n") < r["k"])
-            & (F.col("through") >= r["k"])
-        )
-    found = picked.where(hit).collect()  # one hash per class and percent
-    cuts: dict = {}
-    for r in slices:
-        for f in found:
-            same = f["label"] == r["label"] and f["slice"] == r["slice"]
-            if same and f["through"] - f["n"] < r["k"] <= f["through"]:
-                cuts.setdefault(r["label"], {})[r["q"]] = f["h"]
-    return cuts
+    same = picked["label"].eqNullSafe(wanted["label"]) & (picked["slice"] == wanted["slice"])
+    hit = (F.col("through") - F.col("n") < F.col("k")) & (F.col("through") >= F.col("k"))
+    found = picked.join(wanted, same & hit).select(wanted["label"], "q", "h").collect()
+    marks: dict = {}
+    for r in found:  # one hash per class and percent
+        marks.setdefault(r["label"], {})[r["q"]] = r["h"]
+    return marks
 
 
 def _part(cuts: dict, key: str, label: str, seed: int, percents: Sequence[int]) -> Column:
-    """Number of cuts that lie below the row's hash (a plain projection)."""
-    h = seeded_hash(key, seed)
-    part = None
-    for value, at in cuts.items():
-        n = sum(((h > F.lit(at[q])) if q in at else F.lit(True)).cast("int") for q in percents)
-        cond = F.col(label).eqNullSafe(F.lit(value))
-        part = F.when(cond, n) if part is None else part.when(cond, n)
-    return part if part is not None else F.lit(None).cast("int")
+    """Number of cuts that lie below the row's hash (a plain projection).
+
+    A class too small for a cut has none there: its rows lie above that cut.
+    """
+    if not cuts:
+        return F.lit(len(percents))
+    h = f"md5(concat('{seed}:', CAST({key} AS STRING)))"
+    classes = " ".join(
+        f"WHEN {label} <=> {_literal(value)} THEN "
+        + " + ".join(f"CAST({h} > '{at[q]}' AS INT)" if q in at else "1" for q in percents)
+        for value, at in cuts.items()
+    )
+    return F.expr(f"CASE {classes} ELSE {len(percents)} END")
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
 
 
 def stratified_split(

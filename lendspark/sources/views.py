@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lendspark.functions.features import add_derived_features
 from lendspark.functions.scalar import logistic
-from lendspark.operators.history import prior_history
+from lendspark.operators.history import with_history
 from lendspark.operators.validate import TRAINING, valid_rows
 
 
@@ -78,7 +78,7 @@ def applications(spark: SparkSession, sf_dir: str, history: bool = True) -> Data
     base = _base(spark, sf_dir)
     if not history:
         return base.drop("_open")
-    past = prior_history(
+    past = with_history(
         base,
         "customer_id",
         "application_ts",
@@ -88,7 +88,7 @@ def applications(spark: SparkSession, sf_dir: str, history: bool = True) -> Data
             "total_debt": "CASE WHEN _open THEN CAST(loan_amount AS DECIMAL(14,2)) END",
         },
     )
-    return base.join(past, ["customer_id", "application_ts"], "left").selectExpr(
+    return past.selectExpr(
         *[c for c in base.columns if c != "_open"],
         "CAST(late_payments AS INT) AS late_payments",
         "CAST(active_credit_lines AS INT) AS active_credit_lines",
