@@ -12,6 +12,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def number(x: float) -> str:
+    """A double as SQL, infinities included."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
 def ratio(numerator: str, denominator: str) -> str:
     """SQL for ``numerator / denominator`` as double, NULL where the denominator is not positive."""
     return (

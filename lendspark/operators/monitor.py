@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendspark.errors import DataValidationError
 from lendspark.operators.metrics import evaluation_report
 from lendspark.operators.running import grouped_quantiles, order_statistics
 from lendspark.operators.validate import Rule, applicable, is_valid, violations
@@ -84,12 +85,13 @@ def join_bin_counts(reference: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def psi(bins: DataFrame) -> DataFrame:
-    """Population stability index of a table of bin counts."""
-    totals = bins.agg(F.sum("n_reference").alias("e"), F.sum("n_current").alias("a"))
-    both = bins.withColumn("_t", totals.select(F.struct("e", "a")).scalar())
-    e = F.greatest(F.col("n_reference") / F.col("_t.e"), F.lit(PSI_FLOOR))
-    a = F.greatest(F.col("n_current") / F.col("_t.a"), F.lit(PSI_FLOOR))
-    return both.agg(F.round(F.sum((a - e) * F.log(a / e)), 6).alias("psi"))
+    """Population stability index of a table of bin counts (an empty bin counts as the floor)."""
+    totals = bins.agg(F.expr("struct(sum(n_reference) AS e, sum(n_current) AS a)"))
+    shares = bins.withColumn("_t", totals.scalar()).selectExpr(
+        f"greatest(try_divide(n_reference, _t.e), {PSI_FLOOR}D) AS e",
+        f"greatest(try_divide(n_current, _t.a), {PSI_FLOOR}D) AS a",
+    )
+    return shares.agg(F.expr("round(sum((a - e) * ln(a / e)), 6) AS psi"))
 
 
 def psi_numeric(df: DataFrame, value: str, is_reference: Column) -> DataFrame:
@@ -97,33 +99,38 @@ def psi_numeric(df: DataFrame, value: str, is_reference: Column) -> DataFrame:
     reference = df.where(is_reference).select(value)
     found = order_statistics(reference, {value: PSI_QUANTILES})[value]
     edges = sorted({found[q] for q in PSI_QUANTILES if found[q] is not None})
+    if not edges:
+        raise DataValidationError(f"column {value} has no values in the reference period")
     rows = df.where(F.col(value).isNotNull())
-    return psi(bin_counts(rows, numeric_bin(value, edges), is_reference)).select(
+    bins = bin_counts(rows, numeric_bin(value, edges), is_reference)
+    return psi(bins).select(
         F.lit(value).alias("column"), "psi"
     )
 
 
 def psi_categorical(df: DataFrame, columns: Sequence[str], is_reference: Column) -> DataFrame:
-    """PSI of category shares, all columns in one pass."""
-    pairs = df.select(
-        is_reference.alias("_ref"),
-        F.explode(
-            F.array(
-                *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-            )
-        ).alias("x"),
-    ).where(F.col("x.value").isNotNull())
-    counts = pairs.groupBy(F.col("x.column").alias("column"), F.col("x.value").alias("value")).agg(
-        F.count(F.when(F.col("_ref"), 1)).alias("n_reference"),
-        F.count(F.when(~F.col("_ref"), 1)).alias("n_current"),
+    """PSI of category shares per column."""
+    rows = df.withColumn("_ref", is_reference)
+    cells = ", ".join(f"'{c}', CAST({c} AS STRING)" for c in columns)
+    counts = (
+        rows.selectExpr("_ref", f"stack({len(columns)}, {cells}) AS (column, value)")
+        .where("value IS NOT NULL")
+        .groupBy("column", "value")
+        .agg(F.expr("count_if(_ref) AS n_reference"), F.expr("count_if(NOT _ref) AS n_current"))
+    )
+    # Period sizes per column: one row, read as a scalar.
+    sizes = ", ".join(
+        f"'{c}', named_struct('e', count_if(_ref AND {c} IS NOT NULL), "
+        f"'a', count_if(NOT _ref AND {c} IS NOT NULL))"
+        for c in columns
     )
-    whole = Window.partitionBy("column")
-    e = F.greatest(F.col("n_reference") / F.sum("n_reference").over(whole), F.lit(PSI_FLOOR))
-    a = F.greatest(F.col("n_current") / F.sum("n_current").over(whole), F.lit(PSI_FLOOR))
-    shares = counts.select("column", e.alias("e"), a.alias("a"))
-    return shares.groupBy("column").agg(
-        F.round(F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))), 6).alias("psi")
+    shares = counts.withColumn("_t", F.element_at(rows.agg(F.expr(f"map({sizes})")).scalar(), F.col("column")))
+    shares = shares.selectExpr(
+        "column",
+        f"greatest(try_divide(n_reference, _t.e), {PSI_FLOOR}D) AS e",
+        f"greatest(try_divide(n_current, _t.a), {PSI_FLOOR}D) AS a",
     )
+    return shares.groupBy("column").agg(F.expr("round(sum((a - e) * ln(a / e)), 6) AS psi"))
 
 
 def month(ts: str) -> Column:

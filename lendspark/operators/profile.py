@@ -4,25 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendspark.functions.scalar import number
 from lendspark.operators.running import order_statistics
 from lendspark.schemas import TARGET
 
 
-def _long(wide: DataFrame, rows: dict[str, dict[str, Column]]) -> DataFrame:
+def _long(wide: DataFrame, rows: dict[str, dict[str, str]]) -> DataFrame:
     """Turn a one-row aggregate into one row per column name."""
-    return wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("column"), *[v.alias(k) for k, v in vals.items()])
-                    for name, vals in rows.items()
-                ]
-            )
-        )
-    )
+    names = list(next(iter(rows.values())))
+    cells = ", ".join(f"'{c}', {', '.join(vals.values())}" for c, vals in rows.items())
+    return wide.selectExpr(f"stack({len(rows)}, {cells}) AS (column, {', '.join(names)})")
+
+
+def _pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Long form: one row per row and column, values as text."""
+    cells = ", ".join(f"'{c}', CAST({c} AS STRING)" for c in columns)
+    return df.selectExpr(f"stack({len(columns)}, {cells}) AS (column, value)")
 
 
 def row_counts(df: DataFrame) -> DataFrame:
@@ -33,19 +33,9 @@ def row_counts(df: DataFrame) -> DataFrame:
 
 def null_profile(df: DataFrame) -> DataFrame:
     cols = df.columns
-    wide = df.agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in cols]
-    )
-    return _long(
-        wide,
-        {
-            c: {
-                "n_null": F.col(c),
-                "pct_null": F.round(F.try_divide(F.col(c) * 100.0, F.col("_n").cast("double")), 6),
-            }
-            for c in cols
-        },
-    )
+    wide = df.agg(F.expr("count(1) AS _n"), *[F.expr(f"count_if({c} IS NULL) AS {c}") for c in cols])
+    share = "round(try_divide({c} * 100D, CAST(_n AS DOUBLE)), 6)"
+    return _long(wide, {c: {"n_null": c, "pct_null": share.format(c=c)} for c in cols})
 
 
 def duplicates(df: DataFrame) -> DataFrame:
@@ -65,19 +55,10 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
     """
     if approximate:
         wide = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
-        return _long(wide, {c: {"n_distinct": F.col(c)} for c in columns})
-    pairs = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-                    for c in columns
-                ]
-            )
-        ).alias("x")
-    ).select("x.*")
+        return _long(wide, {c: {"n_distinct": c} for c in columns})
     return (
-        pairs.groupBy("column", "value")
+        _pairs(df, columns)
+        .groupBy("column", "value")
         .agg(F.lit(1).alias("one"))
         .groupBy("column")
         .agg(F.count("value").alias("n_distinct"))
@@ -87,50 +68,42 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, min, quartiles, max, mean and sample deviation per numeric column."""
     quarts = order_statistics(df, {c: (0.25, 0.5, 0.75) for c in columns})
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"{c}_n"),
-            F.min(x).alias(f"{c}_min"),
-            F.max(x).alias(f"{c}_max"),
-            F.avg(x).alias(f"{c}_mean"),
-            F.stddev_samp(x).alias(f"{c}_sd"),
+    wide = df.agg(
+        *[
+            F.expr(f"{fn}(CAST({c} AS DOUBLE)) AS {c}_{name}")
+            for c in columns
+            for name, fn in _SUMMARY.items()
         ]
-    wide = df.agg(*aggs)
+    )
 
     def q(c, p):
-        return F.round(F.lit(quarts[c][p]).cast("double"), 6)
+        return "CAST(NULL AS DOUBLE)" if quarts[c][p] is None else f"round({number(quarts[c][p])}, 6)"
 
     return _long(
         wide,
         {
             c: {
-                "n": F.col(f"{c}_n"),
-                "min": F.round(F.col(f"{c}_min"), 6),
+                "n": f"{c}_n",
+                "min": f"round({c}_min, 6)",
                 "q25": q(c, 0.25),
                 "median": q(c, 0.5),
                 "q75": q(c, 0.75),
-                "max": F.round(F.col(f"{c}_max"), 6),
-                "mean": F.round(F.col(f"{c}_mean"), 4),
-                "stddev": F.round(F.col(f"{c}_sd"), 4),
+                "max": f"round({c}_max, 6)",
+                "mean": f"round({c}_mean, 4)",
+                "stddev": f"round({c}_sd, 4)",
             }
             for c in columns
         },
     )
 
 
+_SUMMARY = {"n": "count", "min": "min", "max": "max", "mean": "avg", "sd": "stddev_samp"}
+
+
 def categorical_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count and share of every value of every categorical column."""
-    pairs = df.select(
-        F.explode(
-            F.array(
-                *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-            )
-        ).alias("x")
-    ).select("x.*")
-    counts = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy("column"))
+    counts = _pairs(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    total = df.agg(F.count(F.lit(1))).scalar()
     return counts.withColumn("share", F.round(F.col("n") / total, 6))
 
 
@@ -149,17 +122,17 @@ def outliers_iqr(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> D
         if q1 is not None:
             fences[c] = (q1 - reach * (q3 - q1), q3 + reach * (q3 - q1))
     wide = df.agg(
-        *[F.count(F.when(F.col(c) < lo, 1)).alias(f"{c}_low") for c, (lo, _) in fences.items()],
-        *[F.count(F.when(F.col(c) > hi, 1)).alias(f"{c}_high") for c, (_, hi) in fences.items()],
+        *[F.expr(f"count_if({c} < {number(lo)}) AS {c}_low") for c, (lo, _) in fences.items()],
+        *[F.expr(f"count_if({c} > {number(hi)}) AS {c}_high") for c, (_, hi) in fences.items()],
     )
     return _long(
         wide,
         {
             c: {
-                "lower": F.round(F.lit(lo), 4),
-                "upper": F.round(F.lit(hi), 4),
-                "n_low": F.col(f"{c}_low"),
-                "n_high": F.col(f"{c}_high"),
+                "lower": f"round({number(lo)}, 4)",
+                "upper": f"round({number(hi)}, 4)",
+                "n_low": f"{c}_low",
+                "n_high": f"{c}_high",
             }
             for c, (lo, hi) in fences.items()
         },
@@ -170,39 +143,27 @@ def leakage_corr(
     df: DataFrame, columns: Sequence[str], label: str = TARGET, alarm: float = 0.9
 ) -> DataFrame:
     """Correlation of each column with the target; a very high one hints at leakage."""
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(c) for c in columns])
+    wide = df.agg(
+        *[F.expr(f"corr(CAST({c} AS DOUBLE), CAST({label} AS DOUBLE)) AS {c}_r") for c in columns]
+    )
+    flag = "coalesce(abs({c}_r) >= {a}D, false)"
     return _long(
         wide,
-        {
-            c: {
-                "corr": F.round(F.col(c), 6),
-                "suspicious": F.coalesce(F.abs(F.col(c)) >= alarm, F.lit(False)),
-            }
-            for c in columns
-        },
+        {c: {"corr": f"round({c}_r, 6)", "suspicious": flag.format(c=c, a=float(alarm))} for c in columns},
     )
 
 
 def invalid_categories(df: DataFrame, allowed: dict[str, Sequence[str]]) -> DataFrame:
     """Values outside a closed set, with their counts."""
-    pairs = df.select(
-        F.explode(
-            F.array_compact(
-                F.array(
-                    *[
-                        F.when(
-                            F.col(c).isNotNull() & ~F.col(c).isin(*ok),
-                            F.struct(F.lit(c).alias("column"), F.col(c).alias("value")),
-                        )
-                        for c, ok in allowed.items()
-                    ]
-                )
-            )
-        ).alias("x")
-    )
-    return pairs.groupBy(F.col("x.column").alias("column"), F.col("x.value").alias("value")).agg(
-        F.count(F.lit(1)).alias("n")
+    def quoted(values):
+        return ", ".join(f"'{v}'" for v in values)
+
+    cells = ", ".join(
+        f"CASE WHEN {c} NOT IN ({quoted(ok)}) THEN named_struct('column', '{c}', 'value', {c}) END"
+        for c, ok in allowed.items()
     )
+    pairs = df.selectExpr(f"inline(array_compact(array({cells})))")
+    return pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def class_balance(df: DataFrame, label: str = TARGET) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendspark.functions.scalar import number
+
 #: Up to this many distinct values one task sorts them; beyond, they are split.
 ONE_TASK_VALUES = 500_000
 #: Rank error of the first pass is 1 / ACCURACY of the row count.
@@ -165,7 +167,7 @@ def _pick(df, brackets, ranks, open_ends):
     distinct = sorted({(c, lo, hi) for (c, _), (lo, hi) in brackets.items()})
     index = {b: w for w, b in enumerate(distinct)}
     entries = ", ".join(
-        f"CASE WHEN {c} BETWEEN CAST('{lo!r}' AS DOUBLE) AND CAST('{hi!r}' AS DOUBLE) THEN named_struct('w', {w}, 'v', {c}) END"
+        f"CASE WHEN {c} BETWEEN {number(lo)} AND {number(hi)} THEN named_struct('w', {w}, 'v', {c}) END"
         if (lo, hi) != open_ends[c]
         else f"CASE WHEN {c} IS NOT NULL THEN named_struct('w', {w}, 'v', {c}) END"
         for (c, lo, hi), w in index.items()
