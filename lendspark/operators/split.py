@@ -96,26 +96,54 @@ def _literal(value) -> str:
     return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
 
 
+PARTS = ("train", "validation", "test")
+SPLIT_PERCENTS = (70, 85)
+
+
+def _split_column(cuts: dict, key: str, label: str, seed: int, percents: Sequence[int]) -> Column:
+    names = F.expr("array(" + ", ".join(f"'{n}'" for n in PARTS) + ")")
+    return F.get(names, _part(cuts, key, label, seed, percents))
+
+
+def _fold_percents(folds: int) -> list[int]:
+    if folds < 2 or 100 % folds:
+        raise ValueError("folds must divide 100")
+    return [100 // folds * i for i in range(1, folds)]
+
+
 def stratified_split(
-    df: DataFrame, key: str, label: str = TARGET, seed: int = SEED, percents: Sequence[int] = (70, 85)
+    df: DataFrame, key: str, label: str = TARGET, seed: int = SEED, percents: Sequence[int] = SPLIT_PERCENTS
 ) -> DataFrame:
     """Add ``split``: train / validation / test in exact class-wise proportions."""
     cuts = stratified_cuts(df, key, label, percents, seed)
-    names = F.array(F.lit("train"), F.lit("validation"), F.lit("test"))
-    return df.withColumn("split", F.get(names, _part(cuts, key, label, seed, percents)))
+    return df.withColumn("split", _split_column(cuts, key, label, seed, percents))
 
 
 def stratified_folds(
     df: DataFrame, key: str, label: str = TARGET, folds: int = 5, seed: int = SEED
 ) -> DataFrame:
     """Add ``fold`` (0 .. folds-1): shuffled, equal in size within every class."""
-    if 100 % folds:
-        raise ValueError("folds must divide 100")
-    percents = [100 // folds * i for i in range(1, folds)]
+    percents = _fold_percents(folds)
     cuts = stratified_cuts(df, key, label, percents, seed)
     return df.withColumn("fold", _part(cuts, key, label, seed, percents))
 
 
+def split_and_folds(
+    df: DataFrame, key: str, label: str = TARGET, folds: int = 5, seed: int = SEED
+) -> DataFrame:
+    """Add ``split``, and ``fold`` for the training part (NULL elsewhere), from one search for cuts."""
+    train, _ = SPLIT_PERCENTS
+    if folds < 2 or train % folds:
+        raise ValueError(f"folds must divide {train}")
+    percents = [train // folds * i for i in range(1, folds)] + list(SPLIT_PERCENTS)
+    part = _part(stratified_cuts(df, key, label, percents, seed), key, label, seed, percents)
+    return df.withColumn("_k", part).selectExpr(
+        *df.columns,
+        f"CASE WHEN _k < {folds} THEN 'train' WHEN _k = {folds} THEN 'validation' ELSE 'test' END AS split",
+        f"CASE WHEN _k < {folds} THEN _k END AS fold",
+    )
+
+
 def micros(ts: str | Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 

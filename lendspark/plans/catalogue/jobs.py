@@ -14,7 +14,7 @@ from lendspark.functions.scalar import model_identity
 from lendspark.operators import explain, registry as reg, relational as rel
 from lendspark.operators.metrics import calibration_curve, evaluation_report
 from lendspark.operators.profile import null_profile
-from lendspark.operators.split import oversample, stratified_folds, stratified_split
+from lendspark.operators.split import oversample, split_and_folds
 from lendspark.operators.validate import TRAINING, strict_gate, valid_rows
 from lendspark.plans import training as tr
 from lendspark.plans.catalogue.base import (
@@ -178,7 +178,7 @@ def _training_rows(spark, sf_dir):
     path = scratch_path(spark, "training")
     rows.write.parquet(path)
     stored = spark.read.schema(rows.schema).parquet(path)
-    return stratified_folds(stratified_split(stored, "application_id"), "application_id")
+    return split_and_folds(stored, "application_id")
 
 
 def _part(rows, name):
@@ -222,7 +222,6 @@ def fit_oversampled(spark, sf_dir):
 def search(spark, sf_dir):
     """Cross-validated random search; one row per candidate with its mean ROC-AUC."""
     rows = _part(_training_rows(spark, sf_dir), "train")
-    rows = rows.withColumn("fold", F.col("fold") % 2)
     found = tr.search(
         rows,
         trials=2,

@@ -6,7 +6,7 @@ from lendspark.errors import ExplanationError, InvalidFeatureSchemaError
 from lendspark.functions.scalar import logistic
 from lendspark.operators import explain
 from lendspark.operators.metrics import brier_score
-from lendspark.operators.split import stratified_folds, stratified_split
+from lendspark.operators.split import split_and_folds
 from lendspark.operators.validate import TRAINING, missing_at_input, valid_rows
 from lendspark.plans import training as tr
 from lendspark.plans.scoring import model_score
@@ -18,7 +18,7 @@ def rows(spark, sf, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("rows") / "t")
     valid_rows(applications(spark, sf), TRAINING).write.parquet(path)
     stored = spark.read.parquet(path)
-    return stratified_folds(stratified_split(stored, "application_id"), "application_id").cache()
+    return split_and_folds(stored, "application_id").cache()
 
 
 @pytest.fixture(scope="module")

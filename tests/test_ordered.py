@@ -128,6 +128,16 @@ def test_folds(labelled):
     assert by_label.where("d > 1").count() == 0
 
 
+def test_split_and_folds_agree_with_the_split(labelled):
+    both = split.split_and_folds(labelled, "id", "label")
+    plain = split.stratified_split(labelled, "id", "label").select("id", "split")
+    assert both.select("id", "split").exceptAll(plain).count() == 0
+    assert both.where("(fold IS NULL) <> (split <> 'train')").count() == 0
+    sizes = both.where("split = 'train' AND label <> 'rare'").groupBy("label", "fold").count()
+    spread = sizes.groupBy("label").agg((F.max("count") - F.min("count")).alias("d"), F.count("*").alias("n"))
+    assert [(r["n"], r["d"] <= 1) for r in spread.collect()] == [(5, True)] * 3
+
+
 def test_time_split_keeps_moments_together(visits):
     out = split.time_split(visits, "at")
     last = {r["split"]: (r["a"], r["b"]) for r in out.groupBy("split").agg(F.min("at").alias("a"), F.max("at").alias("b")).collect()}
