@@ -55,7 +55,7 @@ def _count_metrics(threshold: float) -> dict[str, str]:
 
 
 def _summary(table: DataFrame, by: Sequence[str], cols: dict[str, str]) -> DataFrame:
-    return table.groupBy(*by).agg(*[F.expr(f"round({c}, 6) AS {n}") for n, c in cols.items()])
+    return table.groupBy(*by).agg(*[F.expr(f"{c} AS {n}") for n, c in cols.items()])
 
 
 def roc_auc(df, label: str = TARGET, p: str = "p", by: Sequence[str] = (), edges=None) -> DataFrame:
@@ -107,11 +107,12 @@ def evaluation_report(
 def calibration_curve(
     df, label: str = TARGET, p: str = "p", bins: int = 10, by: Sequence[str] = ()
 ) -> DataFrame:
-    slot = F.least(F.floor(F.col(p) * float(bins)), F.lit(bins - 1)).cast("int")
-    return df.groupBy(*by, slot.alias("bin")).agg(
-        F.round(F.avg(p), 6).alias("mean_p"),
-        F.round(F.avg(F.col(label).cast("double")), 6).alias("observed"),
-        F.count(F.lit(1)).alias("n"),
+    """Mean probability and observed rate per equal-width bin."""
+    slot = F.expr(f"CAST(least(floor({p} * {float(bins)}D), {bins - 1}) AS INT) AS bin")
+    return df.groupBy(*by, slot).agg(
+        F.expr(f"avg({p}) AS mean_p"),
+        F.expr(f"avg(CAST({label} AS DOUBLE)) AS observed"),
+        F.expr("count(1) AS n"),
     )
 
 
@@ -140,9 +141,9 @@ def threshold_sweep(
         f"stack({len(thresholds)}, {rows}) AS (threshold, tp, picked, pos)"
     ).selectExpr(
         "threshold",
-        "round(try_divide(CAST(tp AS DOUBLE), picked), 6) AS precision",
-        "round(try_divide(CAST(tp AS DOUBLE), pos), 6) AS recall",
-        "round(try_divide(tp * 2D, picked + pos), 6) AS f1",
+        "try_divide(CAST(tp AS DOUBLE), picked) AS precision",
+        "try_divide(CAST(tp AS DOUBLE), pos) AS recall",
+        "try_divide(tp * 2D, picked + pos) AS f1",
     )
 
 
@@ -165,8 +166,8 @@ def fold_metrics(df, label: str = TARGET, p: str = "p", fold: str = "fold") -> D
         report.selectExpr(f"stack({len(FOLD_METRICS)}, {rows}) AS (metric, value)")
         .groupBy("metric")
         .agg(
-            F.round(F.avg("value"), 6).alias("mean"),
-            F.round(F.stddev_samp("value"), 6).alias("stddev"),
+            F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("stddev"),
             F.count("value").alias("folds"),
         )
     )

@@ -30,11 +30,11 @@ def latency_stats(df: DataFrame, by: Sequence[str], latency: str = "latency_ms")
     """Count, mean, maximum and exact 95th percentile of latency per group."""
     plain = df.groupBy(*by).agg(
         F.count(F.col(latency)).alias("n"),
-        F.round(F.avg(F.col(latency).cast("double")), 6).alias("mean_ms"),
+        F.avg(F.col(latency).cast("double")).alias("mean_ms"),
         F.max(F.col(latency).cast("double")).alias("max_ms"),
     )
     tail = grouped_quantiles(df, by, latency, [0.95], ["p95_ms"])
-    return plain.join(tail, list(by)).withColumn("p95_ms", F.round("p95_ms", 6))
+    return plain.join(tail, list(by))
 
 
 def error_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

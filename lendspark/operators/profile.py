@@ -77,20 +77,20 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
     def q(c, p):
-        return "CAST(NULL AS DOUBLE)" if quarts[c][p] is None else f"round({number(quarts[c][p])}, 6)"
+        return "CAST(NULL AS DOUBLE)" if quarts[c][p] is None else number(quarts[c][p])
 
     return _long(
         wide,
         {
             c: {
                 "n": f"{c}_n",
-                "min": f"round({c}_min, 6)",
+                "min": f"{c}_min",
                 "q25": q(c, 0.25),
                 "median": q(c, 0.5),
                 "q75": q(c, 0.75),
-                "max": f"round({c}_max, 6)",
-                "mean": f"round({c}_mean, 4)",
-                "stddev": f"round({c}_sd, 4)",
+                "max": f"{c}_max",
+                "mean": f"{c}_mean",
+                "stddev": f"{c}_sd",
             }
             for c in columns
         },
@@ -129,8 +129,8 @@ def outliers_iqr(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> D
         wide,
         {
             c: {
-                "lower": f"round({number(lo)}, 4)",
-                "upper": f"round({number(hi)}, 4)",
+                "lower": number(lo),
+                "upper": number(hi),
                 "n_low": f"{c}_low",
                 "n_high": f"{c}_high",
             }

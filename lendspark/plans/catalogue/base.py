@@ -26,6 +26,25 @@ def query(sql: str | None = None):
     return add
 
 
+def settled(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round all double columns for comparison.
+
+    Sums of doubles may differ in the last bit between engines. Where the exact
+    value lies on a rounding tie (a mean of cents, say) that bit would decide, so
+    both sides first move the value by the same tiny share.
+    """
+    return df.selectExpr(
+        *[
+            f"round(`{c}` * (1D + 1e-12D), {digits}) AS `{c}`" if t == "double" else f"`{c}`"
+            for c, t in df.dtypes
+        ]
+    )
+
+
+def settled_sql(expr: str, digits: int = 6) -> str:
+    return f"round(({expr}) * (1::DOUBLE + 1e-12::DOUBLE), {digits})"
+
+
 BASE = """
 returned AS (
   SELECT l_orderkey, count(*) AS n_returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey

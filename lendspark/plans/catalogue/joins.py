@@ -20,6 +20,8 @@ from lendspark.plans.catalogue.base import (
     predictions,
     query,
     scored,
+    settled,
+    settled_sql,
     table,
 )
 
@@ -86,15 +88,14 @@ def prediction_customer_left(spark, sf_dir):
 
 @query(f"""
 WITH {PREDICTIONS.strip()}, {METADATA}
-SELECT name, version, count(*) AS n, round(avg(default_probability), 6) AS mean_p
+SELECT name, version, count(*) AS n, {settled_sql("avg(default_probability)")} AS mean_p
 FROM predictions JOIN metadata ON model_key = part GROUP BY name, version
 """)
 def prediction_model(spark, sf_dir):
     models = metadata(spark, sf_dir).select("part", "name", "version")
     joined = rel.join_parent(predictions(spark, sf_dir), models, "model_key", "part")
-    return joined.groupBy(F.col("parent_name").alias("name"), F.col("parent_version").alias("version")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("default_probability"), 6).alias("mean_p")
-    )
+    used = joined.groupBy(F.col("parent_name").alias("name"), F.col("parent_version").alias("version"))
+    return settled(used.agg(F.count(F.lit(1)).alias("n"), F.avg("default_probability").alias("mean_p")))
 
 
 @query(f"""

@@ -6,8 +6,19 @@ from pyspark.sql import functions as F
 
 from lendspark.operators import monitor as mon
 from lendspark.operators.validate import REQUEST
-from lendspark.plans.catalogue.base import APP, BASE, PREDICTIONS, SCORED, applications, predictions, query, scored
-from lendspark.plans.catalogue.evaluation import grouped
+from lendspark.plans.catalogue.base import (
+    APP,
+    BASE,
+    PREDICTIONS,
+    SCORED,
+    applications,
+    predictions,
+    query,
+    scored,
+    settled,
+    settled_sql,
+)
+from lendspark.plans.catalogue.evaluation import METRICS, grouped, shown
 from lendspark.plans.scoring import with_risk
 
 _CUT = "1998-01-01 00:00:00"
@@ -28,13 +39,13 @@ def prediction_counts(spark, sf_dir):
 
 @query(f"""
 WITH {PREDICTIONS}
-SELECT prediction_version, count(latency_ms) AS n, round(avg(CAST(latency_ms AS DOUBLE)), 6) AS mean_ms,
-  max(CAST(latency_ms AS DOUBLE)) AS max_ms,
-  round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.95), 6) AS p95_ms
+SELECT prediction_version, count(latency_ms) AS n, {settled_sql("avg(CAST(latency_ms AS DOUBLE))")} AS mean_ms,
+  {settled_sql("max(CAST(latency_ms AS DOUBLE))")} AS max_ms,
+  {settled_sql("quantile_cont(CAST(latency_ms AS DOUBLE), 0.95)")} AS p95_ms
 FROM predictions GROUP BY prediction_version
 """)
 def latency_stats(spark, sf_dir):
-    return mon.latency_stats(predictions(spark, sf_dir), ["prediction_version"])
+    return settled(mon.latency_stats(predictions(spark, sf_dir), ["prediction_version"]))
 
 
 @query(f"""
@@ -104,7 +115,7 @@ def prediction_drift(spark, sf_dir):
 @query(f"""
 WITH {SCORED}, by_month AS (SELECT strftime(application_ts, '%Y-%m') AS "month", loan_status, p FROM scored),
 {grouped('"month"', "by_month")}
-SELECT * FROM ranking JOIN plain USING ("month")
+SELECT "month", {shown(*METRICS)} FROM ranking JOIN plain USING ("month")
 """)
 def performance_by_month(spark, sf_dir):
-    return mon.performance_by_month(scored(spark, sf_dir), "application_ts")
+    return settled(mon.performance_by_month(scored(spark, sf_dir), "application_ts"))

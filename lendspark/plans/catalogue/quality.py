@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lendspark.operators import profile as prof
-from lendspark.plans.catalogue.base import APP, BASE, SCORED, applications, query, scored, table
+from lendspark.plans.catalogue.base import APP, BASE, SCORED, applications, query, scored, settled, settled_sql, table
 from lendspark.schemas import HOME_OWNERSHIP, LOAN_INTENT
 
 _ALL = (
@@ -49,14 +49,14 @@ def distinct_counts(spark, sf_dir):
 
 
 @query(f"WITH {BASE} " + " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", count({c}) AS n, round(min({c}), 6) AS "min",
-      round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS median,
-      round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS "max",
-      round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev FROM base"""
+    f"""SELECT '{c}' AS "column", count({c}) AS n, {settled_sql(f"min({c})", 4)} AS "min",
+      {settled_sql(f"quantile_cont({c}, 0.25)", 4)} AS q25, {settled_sql(f"quantile_cont({c}, 0.5)", 4)} AS median,
+      {settled_sql(f"quantile_cont({c}, 0.75)", 4)} AS q75, {settled_sql(f"max({c})", 4)} AS "max",
+      {settled_sql(f"avg({c})", 4)} AS mean, {settled_sql(f"stddev_samp({c})", 4)} AS stddev FROM base"""
     for c in _NUMERIC
 ))
 def numeric_profile(spark, sf_dir):
-    return prof.numeric_profile(applications(spark, sf_dir, history=False), _NUMERIC)
+    return settled(prof.numeric_profile(applications(spark, sf_dir, history=False), _NUMERIC), 4)
 
 
 @query(f"WITH {BASE} " + " UNION ALL ".join(
@@ -78,16 +78,15 @@ def target_distribution(spark, sf_dir):
 
 
 @query(f"WITH {APP} " + " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", round(lo, 4) AS "lower", round(hi, 4) AS "upper",
+    f"""SELECT '{c}' AS "column", {settled_sql("lo", 4)} AS "lower", {settled_sql("hi", 4)} AS "upper",
       count(*) FILTER (WHERE {c} < lo) AS n_low, count(*) FILTER (WHERE {c} > hi) AS n_high
     FROM app, (SELECT q1 - 1.5::DOUBLE * (q3 - q1) AS lo, q3 + 1.5::DOUBLE * (q3 - q1) AS hi FROM (
       SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM app)) GROUP BY lo, hi"""
     for c in ("income", "loan_amount", "late_payments", "total_debt")
 ))
 def outliers_iqr(spark, sf_dir):
-    return prof.outliers_iqr(
-        applications(spark, sf_dir), ("income", "loan_amount", "late_payments", "total_debt")
-    )
+    columns = ("income", "loan_amount", "late_payments", "total_debt")
+    return settled(prof.outliers_iqr(applications(spark, sf_dir), columns), 4)
 
 
 _CORR = ("income", "loan_amount", "interest_rate", "credit_utilization", "late_payments", "loan_status")
