@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm import exact_dedup, jaccard_join, language_id, line_dedup, minhash, mixing, token_files, toxicity, trie_bpe
+from lendspark.llm import exact_dedup, interpolation, jaccard_join, language_id, line_dedup, minhash, mixing, token_files, toxicity, trie_bpe
 from lendspark.llm.frames import documents, sha256_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op2_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.edited_fingerprints(documents(spark, sf_dir))
 
 
+@query
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.scores(documents(spark, sf_dir))
+
+
 @query
 def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.encoded_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
