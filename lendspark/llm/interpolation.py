@@ -71,9 +71,10 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held[role], size[role] = held[role], [], 0
         made += 1
         blob = zstandard.compress(b"".join(t for _, t in rows), 3)
-        columns = [[task << 32 | made], [role], [[i for i, _ in rows]], [[len(t) for _, t in rows]], [blob]]
-        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["piece", "role", "doc_ids", "sizes", "blob"])
+        ids = [[i or 0 for i, _ in rows]]  # lists without NULL, which would turn into floats; NULL ids are marked beside them
+        columns = [[task << 32 | made], [role], ids, [[i is None for i, _ in rows]], [[len(t) for _, t in rows]], [blob]]
+        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["piece", "role", "doc_ids", "no_id", "sizes", "blob"])
 
     for batch in batches:
         for i, role, text in zip(batch.column("doc_id").to_pylist(), batch.column("role").to_pylist(), text_bytes(batch.column("text")), strict=True):
@@ -237,7 +238,7 @@ def _score(model):
         p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * token / max(n, 1) + w[:, 2] / (v + 1)
         p = p if n else np.ones(len(p))
         return pd.DataFrame({
-            "doc_id": pd.array([None if i is None else int(i) for i in np.array(piece["doc_ids"], dtype=object)], dtype="Int64"),
+            "doc_id": pd.arrays.IntegerArray(np.array(piece["doc_ids"], dtype=np.int64), np.array(piece["no_id"], dtype=bool)),
             "held_out": piece["role"] == TEST,
             "n_tokens": np.diff(bounds),
             "n_known": np.add.reduceat((token > 0).astype(np.int64), bounds[:-1]),
@@ -257,7 +258,7 @@ def scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     role = F.when(remainder(10) == 0, TEST).when(remainder(10) == 1, DELETED).otherwise(BASE).cast("int")
     rows = keyed(docs, "text", role.alias("role"))
-    pieces = stored(rows.mapInArrow(_pack, "piece long, role int, doc_ids array<long>, sizes array<long>, blob binary"), "pieces")
+    pieces = stored(rows.mapInArrow(_pack, "piece long, role int, doc_ids array<long>, no_id array<boolean>, sizes array<long>, blob binary"), "pieces")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # pieces are large
     size = pieces.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     bits = max(3, math.ceil(math.log2(max(1, size / SHARD_BYTES))))

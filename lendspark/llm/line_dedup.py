@@ -55,7 +55,10 @@ def dropped_lines(lines: DataFrame, min_docs: int, hot_share: int = HOT_SHARE) -
     from_hot = lines.join(F.broadcast(hot), key).where((F.col("n_docs") >= min_docs) & (F.col("doc_id") < F.col("last")))
     cold = lines.join(F.broadcast(hot.select(*key)), key, "left_anti").repartitionByRange("h1")
     stream = Window.partitionBy(*key).orderBy(F.desc("doc_id"), "pos")
-    seen = cold.select("doc_id", "pos", *key, F.dense_rank().over(stream).alias("nth"))
+    first = F.coalesce((F.lag("doc_id").over(stream) != F.col("doc_id")).cast("int"), F.lit(1))  # of the hash in its document
+    seen = cold.select("doc_id", "pos", *key, first.alias("first"))
+    so_far = stream.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = seen.select("doc_id", "pos", *key, F.sum("first").over(so_far).alias("nth"))
     marked = seen.select("doc_id", "pos", "nth", F.max("nth").over(Window.partitionBy(*key)).alias("n_docs"))
     from_cold = marked.where((F.col("nth") > 1) & (F.col("n_docs") >= min_docs))
     return from_hot.select("doc_id", "pos").unionByName(from_cold.select("doc_id", "pos"))

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendspark.llm.components import components
@@ -111,7 +111,7 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-_OUT = "doc_id long, tie long, edge string, text string, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, next_fingerprint binary"
+_OUT = "doc_id long, tie long, edge string, text string, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,14 +148,14 @@ def _bounded(rows: list[tuple], most: int = 1 << 18) -> Iterator[tuple[int, int]
 
 _SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("tie", pa.int64()), ("edge", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-    ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()), ("next_fingerprint", pa.binary()),
+    ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
 ])
 
 
 def _rows(rows: list[tuple], edge: str) -> pa.RecordBatch:
     none = [None] * len(rows)
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, f.type) for c, f in zip([[r[0] for r in rows], [r[1] for r in rows], [edge] * len(rows), [r[2] for r in rows], *[none] * 5], _SCHEMA, strict=True)],
+        [pa.array(c, f.type) for c, f in zip([[r[0] for r in rows], [r[1] for r in rows], [edge] * len(rows), [r[2] for r in rows], *[none] * 6], _SCHEMA, strict=True)],
         schema=_SCHEMA,
     )
 
@@ -167,7 +167,8 @@ def _paired(rows: list[tuple], following: list[str]) -> pa.RecordBatch:
     after = np.vstack([own[1:], signatures([following[-1].encode()])])
     columns = [
         [r[0] for r in rows], [r[1] for r in rows], [None] * len(rows), [None] * len(rows), [len(r[2]) for r in rows],
-        [hashlib.sha256(c).hexdigest() for c in changed], *[[s.tobytes() for s in m] for m in (own, other, after)],
+        [hashlib.sha256(c).hexdigest() for c in changed], *[[s.tobytes() for s in m] for m in (own, other)],
+        likeness(own, other), likeness(own, after),
     ]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
 
@@ -199,11 +200,5 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     return both.select(
         "doc_id", "n_chars", "edited_sha256",
         F.lower(F.hex("fingerprint")).alias("fingerprint"), F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
-        _equal_share("fingerprint", "edited_fingerprint").alias("near_edited"), _equal_share("fingerprint", "next_fingerprint").alias("near_next"),
+        "near_edited", "near_next",
     )
-
-
-def _equal_share(a: str, b: str) -> Column:
-    at = F.sequence(F.lit(0), F.lit(PERMUTATIONS - 1))
-    same = F.filter(at, lambda i: F.substring(a, i * 2 + 1, F.lit(2)) == F.substring(b, i * 2 + 1, F.lit(2)))
-    return F.size(same) / F.lit(float(PERMUTATIONS))
