@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,10 @@ from lendspark.llm.words import blocks, distinct_by_text, mix, shingle_hashes, w
 #: Count-min table: two rows of 2**WIDTH counters, however large the corpus; it is broadcast as 8 MB of classes.
 WIDTH = 22
 SLICES = 64
-#: Up to so many ids (16 bytes each) are broadcast to fetch candidate texts; more are joined with a shuffle.
-BROADCAST_IDS = 500_000
+#: A filter of 2**BLOOM bits (8 MB) keeps tokens of one document out of the shuffle; what it lets through is joined exactly.
+BLOOM = 26
+#: Up to so many candidate pairs (16 bytes each) are broadcast to meet their texts; more are joined with a shuffle.
+BROADCAST_PAIRS = 500_000
 ORDERS = (101, 202, 303)
 
 
@@ -55,7 +58,8 @@ def _count(k: int):
                     np.add.at(table[row], _cells(tokens, row), 1)
         if table.any():
             for i, part in enumerate(table.reshape(2 * SLICES, -1)):
-                yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "counts": [part.tobytes()]})
+                bytes_by_place = np.ascontiguousarray(part.view(np.uint8).reshape(-1, 4).T)  # the upper ones are mostly 0
+                yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "counts": [zstandard.compress(bytes_by_place.tobytes(), 1)]})
 
     return run
 
@@ -65,7 +69,8 @@ def _add(key, frame):
 
     total = np.zeros((1 << WIDTH) * 2 // (2 * SLICES), dtype=np.uint64)
     for counts in frame["counts"]:
-        total += np.frombuffer(counts, dtype=np.uint32)
+        by_place = np.frombuffer(zstandard.decompress(counts), np.uint8).reshape(4, -1)
+        total += np.ascontiguousarray(by_place.T).view(np.uint32).reshape(-1)
     classes = np.floor(np.log2(np.maximum(total, 1))).astype(np.uint8)
     return pd.DataFrame({"slice": [key[0]], "classes": [classes.tobytes()]})
 
@@ -122,18 +127,67 @@ def _signatures(k: int, percent: int, classes):
 
 
 def _whole_sets(k: int, percent: int, classes):
+    """A row for each partner ``a`` of a text: its set, and its prefixes under the other orders."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, partners = batch.column("doc_id").to_pylist(), batch.column("partners").to_pylist()
             for start, texts in blocks(text_bytes(batch.column("text"))):
                 sets, bounds = distinct_by_text(*shingle_hashes(*word_hashes(texts), k))
-                others = [_lists(_ranked(sets, bounds, classes.value, percent, seed)) for seed in ORDERS[1:]]
-                whole = _lists([sets[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-                yield pa.RecordBatch.from_arrays([ids.slice(start, len(texts)), *others, whole], names=["id", "p2", "p3", "tokens"])
+                others = [_ranked(sets, bounds, classes.value, percent, seed) for seed in ORDERS[1:]]
+                for i in range(len(texts)):
+                    a, n = partners[start + i], len(partners[start + i])
+                    arrays = [others[0][i], others[1][i], sets[bounds[i] : bounds[i + 1]]]
+                    for at in range(0, n, 64):
+                        part = a[at : at + 64]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(part, pa.int64()), pa.array([ids[start + i]] * len(part), pa.int64()), *[_lists([x] * len(part)) for x in arrays]],
+                            names=["a", "b", "p2", "p3", "tokens"],
+                        )
+
+    return run
+
+
+def _repeated(table):
+    """(id, n, pos, token) of the prefix tokens that may be in two documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        for batch in batches:
+            lists = batch.column("prefix")
+            tokens = lists.flatten().to_numpy().view(np.uint64)
+            sizes = np.diff(lists.offsets.to_numpy())
+            place = (mix(tokens, 99) >> np.uint64(64 - BLOOM)).astype(np.int64)
+            hit = np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+            owner = np.repeat(np.arange(len(sizes)), sizes)[hit]
+            pos = hit - (np.cumsum(sizes) - sizes)[owner]
+            ids, n = batch.column("doc_id").to_numpy(), batch.column("n").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[owner]), pa.array(n[owner]), pa.array(pos.astype(np.int32)), pa.array(tokens[hit].view(np.int64))], names=["id", "n", "pos", "token"]
+            )
 
     return run
 
 
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table = np.zeros(1 << (BLOOM - 3), dtype=np.uint8)
+    for batch in batches:
+        place = (mix(batch.column("token").to_numpy().view(np.uint64), 99) >> np.uint64(64 - BLOOM)).astype(np.int64)
+        np.bitwise_or.at(table, place >> 3, (1 << (place & 7)).astype(np.uint8))
+    for i, part in enumerate(table.reshape(SLICES, -1)):
+        if part.any():
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "counts": [zstandard.compress(part.tobytes(), 1)]})
+
+
+def _any(key, frame):
+    import pandas as pd
+
+    total = np.zeros((1 << (BLOOM - 3)) // SLICES, dtype=np.uint8)
+    for part in frame["counts"]:
+        total |= np.frombuffer(zstandard.decompress(part), np.uint8)
+    return pd.DataFrame({"slice": [key[0]], "classes": [total.tobytes()]})
+
+
 class JaccardJoin:
     """Links of ``docs`` (doc_id, text): 100 * intersection >= percent * union of their k-word shingle sets."""
 
@@ -158,37 +212,42 @@ class JaccardJoin:
         )
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that share prefix tokens under the other orders and are similar."""
-        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidate-ids")
-        few = ids.count() <= BROADCAST_IDS
-        texts = self.docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
-        sets = stored(
-            texts.mapInArrow(
-                _whole_sets(self.k, self.percent, self.classes), "id long, p2 array<long>, p3 array<long>, tokens array<long>"
-            ),
-            "candidate-sets",
+        """The pairs (a, b) that share prefix tokens under the other orders and are similar; ``a`` is the side with fewer ids."""
+        ends = pairs.select("a", "b").unionByName(pairs.select("a", F.col("a").alias("b")).distinct())
+        ends = stored(ends.groupBy("b").agg(F.collect_set("a").alias("partners")), "candidate-ends")
+        few = pairs.count() <= BROADCAST_PAIRS
+        texts = self.docs.join(F.broadcast(ends) if few else ends, F.col("doc_id") == F.col("b")).select("doc_id", "text", "partners")
+        sets = texts.mapInArrow(
+            _whole_sets(self.k, self.percent, self.classes), "a long, b long, p2 array<long>, p3 array<long>, tokens array<long>"
         )
-        brief = sets.select("id", "p2", "p3")
-        shared = (
-            pairs.join(brief.toDF("a", "a2", "a3"), "a").join(brief.toDF("b", "b2", "b3"), "b")
-            .where("arrays_overlap(a2, b2) AND arrays_overlap(a3, b3)").select("a", "b").distinct()
-        )
-        whole = sets.select("id", "tokens")
-        both = shared.join(whole.toDF("a", "x"), "a").join(whole.toDF("b", "y"), "b")
-        both = both.select("a", "b", F.expr("size(x) + size(y)").alias("n"), F.expr("size(array_intersect(x, y))").alias("i"))
+        sets = stored(sets, "candidate-sets")
+        pivot = sets.where("a = b").select("a", F.col("p2").alias("a2"), F.col("p3").alias("a3"), F.col("tokens").alias("x"))
+        both = sets.where("a <> b").join(pivot, "a").where("arrays_overlap(a2, p2) AND arrays_overlap(a3, p3)")
+        both = both.select("a", "b", F.expr("size(x) + size(tokens)").alias("n"), F.expr("size(array_intersect(x, tokens))").alias("i"))
         return stored(both.where(f"100 * i >= {self.percent} * (n - i)").select("a", "b").distinct(), "verified")
 
+    def _shared_prefixes(self) -> DataFrame:
+        """(token, id, n, pos, pivot) of the prefix tokens of representatives that at least two of them have."""
+        first = self.rows.join(self.equal, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id", "n", "s1", "s2"])
+        first = stored(first.select("doc_id", "n", "prefix"), "prefixes")
+        tokens = stored(first.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared-tokens")
+        table = np.zeros((SLICES, (1 << (BLOOM - 3)) // SLICES), dtype=np.uint8)
+        for r in tokens.mapInArrow(_bits, "slice int, counts binary").groupBy("slice").applyInPandas(_any, "slice int, classes binary").collect():
+            table[r["slice"]] = np.frombuffer(r["classes"], dtype=np.uint8)
+        bits = self.docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
+        posts = first.mapInArrow(_repeated(bits), "id long, n int, pos int, token long").join(tokens, "token", "left_semi")
+        posts = stored(posts, "shared-prefixes")
+        pivots = posts.groupBy("token").agg(F.min(F.struct("id", "n", "pos")).alias("pivot"))
+        return posts.join(pivots, "token")
+
     def links(self) -> DataFrame:
         """(a, b) of representatives of equal sets: enough links for the components of all links."""
-        first = self.rows.join(self.equal, (F.col("doc_id") == F.col("id")), "left_semi").dropDuplicates(["doc_id", "n", "s1", "s2"])
-        posts = stored(first.select(F.col("doc_id").alias("id"), "n", F.posexplode("prefix").alias("pos", "token")), "prefixes")
-        tokens = posts.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("id", "n", "pos")).alias("pivot")).where("df > 1")
-        live = stored(posts.join(tokens.select("token", "pivot"), "token"), "shared-prefixes")
+        live = self._shared_prefixes()
         star = live.where("id <> pivot.id AND " + self._overlap_left("n", "pos", "pivot.n", "pivot.pos"))
         tried = stored(star.select(F.col("pivot.id").alias("a"), F.col("id").alias("b")).distinct(), "star-pairs")
         near = self._verified(tried)
         member = components(near)
-        live = live.drop("pivot").join(member, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        live = live.select("token", "id", "n", "pos").join(member, "id", "left").withColumn("component", F.coalesce("component", "id"))
         live = stored(live, "by-component")
         mixed = live.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
         open_ = live.join(mixed, "token", "left_semi")
