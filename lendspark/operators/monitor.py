@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from lendspark.errors import DataValidationError
 from lendspark.operators.metrics import evaluation_report
 from lendspark.operators.running import grouped_quantiles, order_statistics
 from lendspark.operators.validate import Rule, applicable, is_valid, violations
-from lendspark.schemas import PSI_FLOOR, TARGET
+from lendspark.schemas import PSI_FLOOR, RISK_LEVEL, TARGET
 
 PSI_QUANTILES = (0.10, 0.25, 0.50, 0.75, 0.90)
 
@@ -34,7 +35,10 @@ def latency_stats(df: DataFrame, by: Sequence[str], latency: str = "latency_ms")
         F.max(F.col(latency).cast("double")).alias("max_ms"),
     )
     tail = grouped_quantiles(df, by, latency, [0.95], ["p95_ms"])
-    return plain.join(tail, list(by))
+    # Groups without any latency stay, and so does a NULL group.
+    other = tail.select(*[F.col(c).alias(f"_q_{c}") for c in by], "p95_ms")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_q_{c}")) for c in by])
+    return plain.join(other, same, "left").select(*plain.columns, "p95_ms")
 
 
 def error_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -138,9 +142,17 @@ def month(ts: str) -> Column:
 
 
 def prediction_drift(df: DataFrame, ts: str, level: str = "risk_level") -> DataFrame:
-    """Share of each risk level per month and its change from the month before."""
-    counts = df.groupBy(month(ts), F.col(level)).agg(F.count(F.lit(1)).alias("n"))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy("month"))
+    """Share of each risk level per month and its change from the month before.
+
+    Every month between the first and the last has all levels, with 0 rows where none occurred; a month without
+    any prediction has no shares, and there is no change to or from it.
+    """
+    found = df.groupBy(month(ts), F.col(level)).agg(F.count(F.lit(1)).alias("n"))
+    span = found.agg(F.to_date(F.min("month"), "yyyy-MM").alias("lo"), F.to_date(F.max("month"), "yyyy-MM").alias("hi"))
+    months = span.where("lo IS NOT NULL").selectExpr("explode(sequence(lo, hi, INTERVAL 1 MONTH)) AS m").select(F.date_format("m", "yyyy-MM").alias("month"))
+    grid = months.select("month", F.explode(F.array(*map(F.lit, RISK_LEVEL))).alias(level))
+    counts = grid.join(found, ["month", level], "left").fillna(0, ["n"])
+    share = F.try_divide("n", F.sum("n").over(Window.partitionBy("month")))
     before = F.lag("_share").over(Window.partitionBy(level).orderBy("month"))
     return (
         counts.withColumn("_share", share)

@@ -69,7 +69,9 @@ def get_or_register(models: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def activate(models: DataFrame, name: str, version: str) -> DataFrame:
-    """The registry with exactly this model active."""
+    """The registry with exactly this model active; a model that is not registered is refused."""
+    if model_by_version(models, name, version).isEmpty():
+        raise ModelNotFoundError(f"no model {name} {version}")
     chosen = (F.col("name") == name) & (F.col("version") == version)
     return models.withColumn("is_active", chosen)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,14 @@ def to_shape(df: DataFrame, shape: T.StructType = COMMON_SHAPE) -> DataFrame:
     )
 
 
+def _lenient(f: T.StructField) -> Column:
+    """A whole number may be written with a zero fraction (34.0); any other fraction does not convert."""
+    if not isinstance(f.dataType, (T.IntegerType, T.LongType)):
+        return F.col(f.name).try_cast(f.dataType)
+    exact = F.col(f.name).try_cast("decimal(38,10)")
+    return F.when(exact == F.floor(exact), exact.try_cast(f.dataType))
+
+
 def lenient_cast(df: DataFrame, shape: T.StructType = APPLICATION) -> DataFrame:
     """Text columns to their declared types; text that does not convert becomes NULL
     and is listed in ``unconverted``."""
@@ -61,7 +69,7 @@ def lenient_cast(df: DataFrame, shape: T.StructType = APPLICATION) -> DataFrame:
         F.array(
             *[
                 F.when(
-                    F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+                    F.col(f.name).isNotNull() & _lenient(f).isNull(),
                     F.lit(f.name),
                 )
                 for f in fields
@@ -71,7 +79,7 @@ def lenient_cast(df: DataFrame, shape: T.StructType = APPLICATION) -> DataFrame:
     keep = [c for c in df.columns if c not in {f.name for f in fields}]
     return df.select(
         *keep,
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields],
+        *[_lenient(f).alias(f.name) for f in fields],
         failed.alias("unconverted"),
     )
 

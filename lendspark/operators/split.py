@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -93,7 +94,13 @@ def _part(cuts: dict, key: str, label: str, seed: int, percents: Sequence[int])
 def _literal(value) -> str:
     if value is None:
         return "NULL"
-    return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, float):
+        return f"CAST('{value}' AS DOUBLE)"  # NaN and infinity have no other literal
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP_NTZ '{value}'" if value.tzinfo is None else f"TIMESTAMP '{value}'"
+    return f"DATE '{value}'" if isinstance(value, datetime.date) else str(value)
 
 
 PARTS = ("train", "validation", "test")

@@ -101,9 +101,12 @@ def psi_categorical(spark, sf_dir):
 
 
 @query(f"""
-WITH {SCORED}, c AS (
+WITH {SCORED}, found AS (
   SELECT strftime(application_ts, '%Y-%m') AS "month", risk_level, count(*) AS n FROM risk GROUP BY ALL),
-s AS (SELECT *, n / sum(n) OVER (PARTITION BY "month") AS share FROM c)
+months AS (SELECT strftime(unnest(generate_series(min(date_trunc('month', application_ts)), max(date_trunc('month', application_ts)), INTERVAL 1 MONTH)), '%Y-%m') AS "month" FROM risk),
+c AS (SELECT "month", risk_level, coalesce(n, 0) AS n
+      FROM months CROSS JOIN (SELECT unnest(['LOW', 'MEDIUM', 'HIGH']) AS risk_level) LEFT JOIN found USING ("month", risk_level)),
+s AS (SELECT *, n / nullif(sum(n) OVER (PARTITION BY "month"), 0) AS share FROM c)
 SELECT "month", risk_level, n, round(share, 6) AS share,
   round(share - lag(share) OVER (PARTITION BY risk_level ORDER BY "month"), 6) AS change
 FROM s

@@ -204,20 +204,21 @@ def first_schema(spark, sf_dir):
 @query(f"""
 WITH {BASE}
 SELECT application_id,
-  CASE WHEN application_id % 10 IN (0, 1) THEN NULL ELSE age END AS age,
+  CASE WHEN application_id % 10 IN (1, 2) THEN NULL ELSE age END AS age,
   CASE WHEN application_id % 7 = 3 THEN NULL ELSE income END AS income,
   home_ownership,
-  concat_ws(',', CASE WHEN application_id % 10 IN (0, 1) THEN 'age' END,
+  concat_ws(',', CASE WHEN application_id % 10 IN (1, 2) THEN 'age' END,
                  CASE WHEN application_id % 7 = 3 THEN 'income' END) AS unconverted
 FROM base
 """)
 def lenient_cast(spark, sf_dir):
-    """Text input: whole numbers in text convert, ``34.0`` as a whole number does not."""
+    """Text input: whole numbers in text convert, so does ``34.0``; ``34.5`` is no whole number."""
     key = F.col("application_id") % 10
     text = applications(spark, sf_dir, history=False).select(
         "application_id",
         F.when(key == 0, F.concat(F.col("age").cast("string"), F.lit(".0")))
         .when(key == 1, "unknown")
+        .when(key == 2, F.concat(F.col("age").cast("string"), F.lit(".5")))
         .otherwise(F.col("age").cast("string"))
         .alias("age"),
         F.when(F.col("application_id") % 7 == 3, "n/a").otherwise(F.col("income").cast("string")).alias("income"),

@@ -181,3 +181,30 @@ def test_one_class_gives_null(spark):
 def test_log_loss_is_finite_at_the_ends(spark):
     df = spark.createDataFrame([(0, 1.0), (1, 0.0), (1, 1.0)], "loan_status int, p double")
     assert 0 < metrics.log_loss(df).first()[0] < 100
+
+
+def test_split_labels_with_odd_characters(spark):
+    from lendspark.operators.split import stratified_split
+
+    rows = [(i, label) for i, label in enumerate(["a\\b", "it's", "\\"] * 20)]
+    out = stratified_split(spark.createDataFrame(rows, "id long, y string"), "id", "y").groupBy("y", "split").count().collect()
+    assert {(r["y"], r["split"]): r["count"] for r in out} == {
+        (y, s): n for y in ("a\\b", "it's", "\\") for s, n in (("train", 14), ("validation", 3), ("test", 3))
+    }
+
+
+def test_drift_fills_absent_levels_and_months(spark):
+    from lendspark.operators.monitor import prediction_drift
+
+    rows = [("2024-01-05", "HIGH")] + [("2024-01-06", "LOW")] * 9 + [("2024-02-01", "LOW")] + [("2024-04-01", "HIGH"), ("2024-04-02", "LOW")]
+    df = spark.createDataFrame(rows, "d string, risk_level string").selectExpr("CAST(d AS TIMESTAMP_NTZ) AS ts", "risk_level")
+    got = {(r["month"], r["risk_level"]): (r["n"], r["change"]) for r in prediction_drift(df, "ts").collect()}
+    assert len(got) == 12 and got["2024-02", "HIGH"] == (0, -0.1) and got["2024-03", "LOW"] == (0, None)
+    assert got["2024-04", "HIGH"] == (1, None)
+
+
+def test_latency_keeps_groups_without_latency(spark):
+    from lendspark.operators.monitor import latency_stats
+
+    df = spark.createDataFrame([("a", 1.0), ("b", None), (None, 3.0)], "g string, latency_ms double")
+    assert {r["g"]: (r["n"], r["p95_ms"]) for r in latency_stats(df, ["g"]).collect()} == {"a": (1, 1.0), "b": (0, None), None: (1, 3.0)}

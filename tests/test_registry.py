@@ -83,3 +83,12 @@ def test_delete_restrict(spark, models):
         rel.delete_restrict(models, used, "id", "model_id")
     free = models.where("id <> 'b'")
     assert rel.delete_restrict(free, used, "id", "model_id") is free
+
+
+def test_activating_an_unknown_version_is_refused(spark):
+    from lendspark.errors import ModelNotFoundError
+    from lendspark.operators.registry import activate
+
+    models = spark.createDataFrame([("m", "1", True)], "name string, version string, is_active boolean")
+    with pytest.raises(ModelNotFoundError):
+        activate(models, "m", "2")
