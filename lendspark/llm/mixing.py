@@ -5,9 +5,9 @@ A labelled table (doc_id, domain) trains a naive Bayes classifier over discretis
 every document has a posterior over domains: mixed documents count in part for each. Document rates r >= 0
 then minimise
 
-    1/2 * sum over domains (expected share of tokens - target)^2 + MU/2 * sum of token shares * (r - 1)^2
+    1/2 * sum over domains (expected share of tokens - target)^2 / share before + MU/2 * sum of token shares * (r - 1)^2
 
-by projected gradient: every step is one aggregate over (posterior, tokens) that returns as many numbers as
+(so a small domain counts by its relative gap, and a unit step never overshoots) by projected gradient: every step is one aggregate over (posterior, tokens) that returns as many numbers as
 there are domains, and the next rates are an expression of these. A rate r becomes floor(r) copies and one
 more where a hash of the document lies below the remainder, so the expectation is exact and a retry repeats it.
 
@@ -122,32 +122,25 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], mu: flo
         return soft.withColumn("rate", F.lit(1.0))
     scale = sum(targets.values())
     aim = [targets.get(d, 0.0) / scale for d in domains]
-    # One step for every document: r <- max(0, r - step * (posterior . gap + mu (r - 1))). The gaps of all steps so far
-    # are short arrays, folded over by an expression, so rates need no table of their own.
-    gaps: list[list[float]] = []
+    # The rates after any number of steps are one expression of the posterior and of the gaps so far: no table of their own.
+    rate, last, share = F.lit(1.0), None, None
     for _ in range(steps):
         sums = [F.sum(F.col("tokens") * F.col("rate") * F.col("posterior")[k]).alias(f"s{k}") for k in range(len(domains))]
-        now = soft.withColumn("rate", _rate(gaps, mu)).agg(*sums).first()
-        gap = [float(now[k]) / total - aim[k] for k in range(len(domains))]
-        if gaps and max(abs(a - b) for a, b in zip(gap, gaps[-1], strict=True)) < ENOUGH:
+        now = soft.withColumn("rate", rate).agg(*sums).first()
+        held = [float(now[k]) / total for k in range(len(domains))]
+        share = share or [max(h, 1e-9) for h in held]  # before any step
+        gap = [(h - a) / s for h, a, s in zip(held, aim, share, strict=True)]
+        if last and max(abs(a - b) for a, b in zip(gap, last, strict=True)) < ENOUGH:
             break
-        gaps.append(gap)
-    return soft.withColumn("rate", _rate(gaps, mu))
+        rate, last = _next(rate, gap, mu), gap
+    return soft.withColumn("rate", rate)
 
 
-def _rate(gaps: list[list[float]], mu: float) -> Column:
-    if not gaps:
-        return F.lit(1.0)
+def _next(rate: Column, gap: list[float], mu: float) -> Column:
+    """max(0, r - step * (posterior . gap + mu (r - 1))), with r written once so that the chain of steps stays short."""
     step = 1.0 / (1.0 + mu)
-    history = F.array(*[F.array(*[F.lit(g) for g in gap]) for gap in gaps])
-    return F.aggregate(
-        history,
-        F.lit(1.0),
-        lambda r, gap: F.greatest(
-            F.lit(0.0),
-            r - step * (F.aggregate(F.arrays_zip(F.col("posterior").alias("p"), gap.alias("g")), F.lit(0.0), lambda a, x: a + x["p"] * x["g"]) + mu * (r - 1.0)),
-        ),
-    )
+    along = reduce(lambda a, b: a + b, [F.col("posterior")[k] * F.lit(step * g) for k, g in enumerate(gap)])
+    return F.greatest(F.lit(0.0), rate * F.lit(1 - step * mu) + F.lit(step * mu) - along)
 
 
 def copies(rate: Column, seed: str = "mixing") -> Column:
