@@ -62,8 +62,17 @@ def yes_no_to_int(flag: str | Column) -> Column:
 
 
 def stable_id(*keys: str | Column) -> Column:
-    """Key derived from the row's own values: the same on every retry, unlike ``uuid()``."""
-    return F.sha2(F.concat_ws("|", *[col(k).cast("string") for k in keys]), 256)
+    """Key derived from the row's own values: the same on every retry, unlike ``uuid()``.
+
+    Parts are joined by ``|``; ``|`` and ``\\`` inside a part are escaped and NULL is ``\\N``, so that
+    different keys never give the same text.
+    """
+    return F.sha2(F.concat_ws("|", *[_part(col(k).cast("string")) for k in keys]), 256)
+
+
+def _part(text: Column) -> Column:
+    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+    return F.coalesce(escaped, F.lit("\\N"))
 
 
 def as_uuid(hex_text: str | Column) -> Column:

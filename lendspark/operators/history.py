@@ -5,41 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A key with more rows than this is not sorted in one task.
-ONE_TASK_ROWS = 1_000_000
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key (reads the key column, combines before the shuffle)."""
-    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-
-
 def with_history(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    sums: dict[str, str],
-    gap: str = "INTERVAL '1' DAY",
-    limit: int = ONE_TASK_ROWS,
+    df: DataFrame, key: str, ts: str, sums: dict[str, str], gap: str = "INTERVAL '1' DAY"
 ) -> DataFrame:
     """Add sums (name -> SQL) over rows of the same key that are at least ``gap`` older.
 
-    The row's own values never enter its own history; without a past the sum is 0.
-
-    When no key has more than ``limit`` rows this is one window: one shuffle, no
-    join. Beyond that, a hot key would be sorted in a single task, so running sums
-    are taken per (key, day) and joined back (``history_by_day``).
+    The row's own values never enter its own history; without a past, or without a
+    moment of its own, the sum is 0. Rows without a key share one history. At every
+    size the sums are taken per (key, day) and joined back (``history_by_day``), so
+    that no task holds a whole key.
     """
-    if largest_group(df, key) <= limit:
-        over = (
-            f"OVER (PARTITION BY {key} ORDER BY {ts} "
-            f"RANGE BETWEEN UNBOUNDED PRECEDING AND {gap} PRECEDING)"
-        )
-        return df.withColumns(
-            {n: F.expr(f"coalesce(sum({e}) {over}, 0)") for n, e in sums.items()}
-        )
-    past = history_by_day(df, key, ts, sums, gap)
-    return df.join(past, [key, ts], "left").select(*df.columns, *sums)
+    types = df.select(*[F.expr(f"coalesce(sum({e}), 0)").alias(n) for n, e in sums.items()]).schema
+    past = history_by_day(df, key, ts, sums, gap).withColumnsRenamed({key: "_key", ts: "_ts"})
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(ts) == F.col("_ts"))
+    return df.join(past, same, "left").select(
+        *df.columns, *[F.coalesce(F.col(n), F.lit(0)).cast(types[n].dataType).alias(n) for n in sums]
+    )
 
 
 def history_by_day(
@@ -52,7 +33,8 @@ def history_by_day(
     bounds, are summed along a whole key.
     """
     names = list(sums)
-    moments = df.groupBy(key, ts).agg(*[F.expr(f"sum({e})").alias(n) for n, e in sums.items()])
+    dated = df.where(F.col(ts).isNotNull())  # a row without a moment is in nobody's past
+    moments = dated.groupBy(key, ts).agg(*[F.expr(f"sum({e})").alias(n) for n, e in sums.items()])
     # Every moment is a fact at its own time and a question `gap` earlier.
     fact = ", ".join(f"'{n}', {n}" for n in names)
     question = ", ".join(
@@ -78,6 +60,8 @@ def history_by_day(
         .agg(*[F.sum(n).alias(n) for n in names])
         .select(key, "_day", *[F.sum(n).over(earlier_days).alias(f"_before_{n}") for n in names])
     )
-    return answers.join(before_day, [key, "_day"]).selectExpr(
+    before_day = before_day.withColumnsRenamed({key: "_key", "_day": "_of"})
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_day") == F.col("_of"))
+    return answers.join(before_day, same).selectExpr(
         key, ts, *[f"coalesce(_in_{n}, 0) + coalesce(_before_{n}, 0) AS {n}" for n in names]
     )

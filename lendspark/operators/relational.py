@@ -43,14 +43,18 @@ def drop_forbidden(df: DataFrame) -> DataFrame:
     return df.drop(*FORBIDDEN_FEATURES)
 
 
+#: Names under which a table may hold a column of the shape.
+_OTHER_NAMES = {"previous_default": "previous_defaults"}
+
+
 def to_shape(df: DataFrame, shape: T.StructType = COMMON_SHAPE) -> DataFrame:
     """Bring any compatible table to ``shape``; what it lacks becomes typed NULL."""
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in shape.fields
-        ]
-    )
+
+    def found(name: str) -> Column:
+        held = next((n for n in (name, _OTHER_NAMES.get(name)) if n in df.columns), None)
+        return F.lit(None) if held is None else F.col(held)
+
+    return df.select(*[found(f.name).cast(f.dataType).alias(f.name) for f in shape.fields])
 
 
 def _lenient(f: T.StructField) -> Column:
@@ -85,8 +89,9 @@ def lenient_cast(df: DataFrame, shape: T.StructType = APPLICATION) -> DataFrame:
 
 
 # ---------------------------------------------------------------- normalisation
+# A value that its decimal type cannot hold becomes NULL; ``validate.decimal_rule`` finds such rows beforehand.
 def _latest(df: DataFrame, key: str, columns: Sequence[str], ts: str, tie: str) -> DataFrame:
-    """The newest row per key by partial aggregation: no sort, and a hot key stays cheap."""
+    """The newest row per key: combined before the shuffle (sorted by key on both sides of it), so a hot key stays cheap."""
     newest = F.max_by(F.struct(*columns), F.struct(ts, tie))
     return df.groupBy(key).agg(newest.alias("_r")).select(key, "_r.*")
 
@@ -103,9 +108,9 @@ def normalise_customers(apps: DataFrame) -> DataFrame:
     return rows.select(
         F.col("customer_id").alias("id"),
         "age",
-        F.col("income").cast("decimal(14,2)").alias("income"),
+        F.col("income").try_cast("decimal(14,2)").alias("income"),
         "home_ownership",
-        F.col("employment_years").cast("decimal(5,2)").alias("employment_years"),
+        F.col("employment_years").try_cast("decimal(5,2)").alias("employment_years"),
     )
 
 
@@ -114,8 +119,8 @@ def normalise_loans(apps: DataFrame) -> DataFrame:
     return api_to_table(apps).select(
         F.col("application_id").alias("id"),
         "customer_id",
-        F.col("amount").cast("decimal(14,2)").alias("amount"),
-        F.col("interest_rate").cast("decimal(5,2)").alias("interest_rate"),
+        F.col("amount").try_cast("decimal(14,2)").alias("amount"),
+        F.col("interest_rate").try_cast("decimal(5,2)").alias("interest_rate"),
         "term_months",
         "purpose",
         "grade",
@@ -145,7 +150,7 @@ def normalise_credit_histories(apps: DataFrame) -> DataFrame:
         F.col("credit_history_years").cast("int").alias("credit_history_years"),
         "previous_defaults",
         "late_payments",
-        F.col("credit_utilization").cast("decimal(5,4)").alias("credit_utilization"),
+        F.col("credit_utilization").try_cast("decimal(5,4)").alias("credit_utilization"),
         "active_credit_lines",
     )
 

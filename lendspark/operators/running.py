@@ -75,7 +75,7 @@ def running_totals(
     inner = parts.withColumns(
         {f"_{s}_in": F.coalesce(F.sum(s).over(inside), F.lit(0)) for s in sums}
     )
-    same = F.col("_part") == F.col("_p")
+    same = F.col("_part").eqNullSafe(F.col("_p"))  # NULL values are a part of their own, the first
     for b in by:
         same = same & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
     return (
@@ -149,6 +149,8 @@ def order_statistics(
         missing = {}
         for (c, p), got in values.items():
             if got is None:  # the bracket missed the rank: take the whole range
+                if todo[c, p] == open_ends[c]:
+                    raise RuntimeError(f"column {c} changed between two reads")
                 missing[c, p] = open_ends[c]
             else:
                 lo, hi = got

@@ -99,9 +99,16 @@ OUTPUT = (
 
 
 def applicable(rules: Iterable[Rule], columns: Iterable[str]) -> list[Rule]:
-    """Rules whose columns the table has; absent columns are ``schema_contract``'s matter."""
+    """The rules that the table can answer. A required column that is absent is missing in every row;
+    other rules over absent columns say nothing."""
     have = set(columns)
-    return [r for r in rules if {r.field, *r.also} <= have]
+    found = []
+    for r in rules:
+        if {r.field, *r.also} <= have:
+            found.append(r)
+        elif r.kind == "missing":
+            found.append(Rule(r.field, r.kind, "true"))
+    return found
 
 
 def violations(rules: Iterable[Rule]) -> Column:

@@ -189,13 +189,13 @@ def nested_response_shape(spark, sf_dir):
 WITH {BASE}
 SELECT application_id, age, income, employment_years, home_ownership, loan_amount, interest_rate, term_months,
   loan_intent, loan_grade, CAST(credit_history_years AS INTEGER) AS credit_history_years, credit_utilization,
-  loan_status, 'loan_percent_income,previous_default,late_payments,active_credit_lines' AS empty_columns
+  loan_status, previous_defaults AS previous_default, 'loan_percent_income,late_payments,active_credit_lines' AS empty_columns
 FROM base
 """)
 def first_schema(spark, sf_dir):
     """The 16-column shape; what the table lacks is NULL there and named in the last column."""
     a = applications(spark, sf_dir, history=False)
-    absent = [c for c in COMMON_SHAPE.fieldNames() if c not in a.columns]
+    absent = [c for c in COMMON_SHAPE.fieldNames() if c not in a.columns and c != "previous_default"]
     names = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in absent])
     shape = T.StructType([a.schema["application_id"], *COMMON_SHAPE.fields])
     return rel.to_shape(a, shape).withColumn("empty_columns", names).drop(*absent)

@@ -12,10 +12,14 @@ CORRUPT = "_corrupt"
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_FILE) -> DataFrame:
-    """Raw CSV with header; a line that does not parse keeps its text in ``_corrupt``."""
+    """Raw CSV with header; a line that does not parse keeps its text in ``_corrupt``.
+
+    A file whose header has other names, or another order, stops the job (``enforceSchema``).
+    """
     return (
         spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
@@ -23,7 +27,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_FILE
 
 
 def read_applications_csv(spark: SparkSession, path: str, schema: T.StructType = APPLICATION) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def read_applications_json(
