@@ -13,7 +13,8 @@ more where a hash of the document lies below the remainder, so the expectation i
 
 Defined cases. NULL text counts as empty, with no tokens: its rate follows the same rule. NULL labels are
 left out; several domains for one id: the largest by name. Domains without a label are not learned; a target
-for such a domain is refused. No labels or no tokens: all rates are 1. Rows repeating an id have equal rates.
+for such a domain is refused. No labels or no tokens: all rates are 1. Rows that repeat an id
+are taken equally often by ``mixed``: as the one with most copies, if their texts differ.
 """
 
 from __future__ import annotations
@@ -151,7 +152,7 @@ def copies(rate: Column, seed: str = "mixing") -> Column:
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> DataFrame:
     """Rows of ``docs`` as often as their rates say; the columns stay."""
-    r = rates(docs, labels, targets).select("doc_id", copies(F.col("rate")).alias("copies")).distinct()
+    r = rates(docs, labels, targets).groupBy("doc_id").agg(F.max(copies(F.col("rate"))).alias("copies"))
     whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
     joined = whole.join(r.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
     often = joined.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("k"))
