@@ -19,9 +19,20 @@ def _long(wide: DataFrame, rows: dict[str, dict[str, str]]) -> DataFrame:
     return wide.selectExpr(f"stack({len(rows)}, {cells}) AS (column, {', '.join(names)})")
 
 
+def _number(c: str) -> str:
+    """The column as a double; NaN is no value."""
+    return f"nanvl(CAST({c} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def _literal(x: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if x is None else number(x)
+
+
 def _pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long form: one row per row and column, values as text."""
-    cells = ", ".join(f"'{c}', CAST({c} AS STRING)" for c in columns)
+    """Long form: one row per row and column, values as text; -0.0 is 0.0."""
+    types = dict(df.dtypes)
+    plain = {c: f"if({c} = 0, CAST(0 AS {types[c]}), {c})" if types[c] in ("float", "double") else c for c in columns}
+    cells = ", ".join(f"'{c}', CAST({plain[c]} AS STRING)" for c in columns)
     return df.selectExpr(f"stack({len(columns)}, {cells}) AS (column, value)")
 
 
@@ -66,18 +77,18 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, min, quartiles, max, mean and sample deviation per numeric column."""
+    """Count, min, quartiles, max, mean and sample deviation per numeric column; NaN counts as NULL."""
     quarts = order_statistics(df, {c: (0.25, 0.5, 0.75) for c in columns})
     wide = df.agg(
         *[
-            F.expr(f"{fn}(CAST({c} AS DOUBLE)) AS {c}_{name}")
+            F.expr(f"{fn}({_number(c)}) AS {c}_{name}")
             for c in columns
             for name, fn in _SUMMARY.items()
         ]
     )
 
     def q(c, p):
-        return "CAST(NULL AS DOUBLE)" if quarts[c][p] is None else number(quarts[c][p])
+        return _literal(quarts[c][p])
 
     return _long(
         wide,
@@ -114,23 +125,25 @@ def target_distribution(df: DataFrame, label: str = TARGET) -> DataFrame:
 
 
 def outliers_iqr(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> DataFrame:
-    """Values outside ``[q25 - reach * iqr, q75 + reach * iqr]`` per column."""
+    """Values outside ``[q25 - reach * iqr, q75 + reach * iqr]`` per column.
+
+    NaN counts as NULL. A column without values has NULL fences and no outliers.
+    """
     quarts = order_statistics(df, {c: (0.25, 0.75) for c in columns})
     fences = {}
     for c in columns:
         q1, q3 = quarts[c][0.25], quarts[c][0.75]
-        if q1 is not None:
-            fences[c] = (q1 - reach * (q3 - q1), q3 + reach * (q3 - q1))
+        fences[c] = (None, None) if q1 is None else (q1 - reach * (q3 - q1), q3 + reach * (q3 - q1))
     wide = df.agg(
-        *[F.expr(f"count_if({c} < {number(lo)}) AS {c}_low") for c, (lo, _) in fences.items()],
-        *[F.expr(f"count_if({c} > {number(hi)}) AS {c}_high") for c, (_, hi) in fences.items()],
+        *[F.expr(f"count_if({_number(c)} < {_literal(lo)}) AS {c}_low") for c, (lo, _) in fences.items()],
+        *[F.expr(f"count_if({_number(c)} > {_literal(hi)}) AS {c}_high") for c, (_, hi) in fences.items()],
     )
     return _long(
         wide,
         {
             c: {
-                "lower": number(lo),
-                "upper": number(hi),
+                "lower": _literal(lo),
+                "upper": _literal(hi),
                 "n_low": f"{c}_low",
                 "n_high": f"{c}_high",
             }

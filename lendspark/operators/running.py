@@ -11,27 +11,28 @@ from pyspark.sql import functions as F
 
 from lendspark.functions.scalar import number
 
-#: Up to this many distinct values one task sorts them; beyond, they are split.
-ONE_TASK_VALUES = 500_000
+#: Distinct values that one task sorts; as many parts as that takes.
+VALUES_PER_PART = 500_000
 #: Rank error of the first pass is 1 / ACCURACY of the row count.
 ACCURACY = 100_000
-MAX_PARTS = 2_000
+#: Ranks on either side of a quantile that are looked at exactly, as a share of all.
+SLACK = 4 / ACCURACY
 
 
 def value_edges(
-    df: DataFrame, value: str, limit: int = ONE_TASK_VALUES, parts: int | None = None
+    df: DataFrame, value: str, per_part: int = VALUES_PER_PART, parts: int | None = None
 ) -> list[float]:
-    """Cut points that split the values into even parts; empty when one part is enough.
+    """Cut points between parts with about ``per_part`` distinct values each; none between less than two parts.
 
-    Aggregations over a single column, no shuffle of rows. The result is at most
-    ``MAX_PARTS`` numbers.
+    Parts are even by distinct values, so a value that most rows share does not leave the others to one part.
     """
-    if df.agg(F.approx_count_distinct(value)).first()[0] <= limit:
-        return []
     if parts is None:
-        parts = min(MAX_PARTS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        parts = math.ceil(df.agg(F.approx_count_distinct(value)).first()[0] / per_part)
+    if parts < 2:
+        return []
     grid = [i / parts for i in range(1, parts)]
-    edges = df.agg(F.percentile_approx(F.col(value).cast("double"), grid, ACCURACY)).first()[0]
+    distinct = df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)").distinct()
+    edges = distinct.agg(F.percentile_approx("v", grid, max(ACCURACY, 20 * parts))).first()[0]
     return sorted(set(edges or []))
 
 
@@ -44,18 +45,11 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<s>_below`` (sum over smaller values) and ``<s>_total`` for each sum column.
 
-    ``df`` holds one row per ``(by, value)``. With ``edges`` the values are cut
-    into parts: running sums run inside a part, and only part totals (at most
-    ``MAX_PARTS`` per group) run across parts.
+    ``df`` holds one row per ``(by, value)``. The values are cut into parts at ``edges``
+    (at zero if there are none): running sums run inside a part, and only part totals
+    run across parts. NULL values come first, NaN last.
     """
-    by = list(by)
-    if not edges:
-        upto = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        whole = Window.partitionBy(*by)
-        out = df.withColumns(
-            {f"{s}_below": F.coalesce(F.sum(s).over(upto), F.lit(0)) for s in sums}
-        )
-        return out.withColumns({f"{s}_total": F.sum(s).over(whole) for s in sums})
+    by, edges = list(by), list(edges) or [0.0]
     cut = Bucketizer(
         splits=[-math.inf, *edges, math.inf], inputCol="_v", outputCol="_part", handleInvalid="keep"
     )
@@ -86,7 +80,7 @@ def running_totals(
 
 
 def order_statistics(
-    df: DataFrame, wanted: dict[str, Iterable[float]], kind: str = "continuous", limit: int = ONE_TASK_VALUES
+    df: DataFrame, wanted: dict[str, Iterable[float]], kind: str = "continuous", slack: float = SLACK
 ) -> dict[str, dict[float, float | None]]:
     """Exact quantiles of whole columns as plain numbers (NULL and NaN left out).
 
@@ -95,8 +89,8 @@ def order_statistics(
 
     The exact ``percentile`` aggregate keeps every distinct value of a group in
     one buffer. Here an approximate pass brackets each quantile, and only rows
-    inside a bracket, collapsed by value, are counted exactly. A column with few
-    distinct values skips the bracket.
+    inside a bracket, collapsed by value, are counted exactly. A bracket that misses
+    its rank is widened to the whole column, once.
     """
     columns = list(wanted)
     probs = {c: sorted(set(ps)) for c, ps in wanted.items()}
@@ -104,24 +98,14 @@ def order_statistics(
     df = df.select(*[clean[c].alias(c) for c in columns])
     first = []
     for i, c in enumerate(columns):
+        around = [min(max(p + s, 0.0), 1.0) for p in probs[c] for s in (-slack, slack)]
         first += [
             F.expr(f"count({c}) AS n{i}"),
-            F.expr(f"approx_count_distinct({c}) AS d{i}"),
             F.expr(f"min({c}) AS min{i}"),
             F.expr(f"max({c}) AS max{i}"),
+            F.percentile_approx(c, around, ACCURACY).alias(f"q{i}"),
         ]
     stats = df.agg(*first).first().asDict()
-    slack = 4 / ACCURACY
-    large = [i for i, c in enumerate(columns) if stats[f"d{i}"] > limit]
-    if large:
-        around = {
-            i: [min(max(p + s, 0.0), 1.0) for p in probs[columns[i]] for s in (-slack, slack)]
-            for i in large
-        }
-        found = df.agg(
-            *[F.percentile_approx(columns[i], at, ACCURACY).alias(f"q{i}") for i, at in around.items()]
-        ).first()
-        stats.update(found.asDict())
 
     ranks: dict[tuple[str, float], tuple[int, int, float]] = {}
     brackets: dict[tuple[str, float], tuple[float, float]] = {}
@@ -138,10 +122,7 @@ def order_statistics(
             else:
                 k = max(_floor_share(n, p), 1) - 1
                 ranks[c, p] = (k, k, 0.0)
-            if i in large:
-                brackets[c, p] = (stats[f"q{i}"][2 * j], stats[f"q{i}"][2 * j + 1])
-            else:
-                brackets[c, p] = (stats[f"min{i}"], stats[f"max{i}"])
+            brackets[c, p] = (stats[f"q{i}"][2 * j], stats[f"q{i}"][2 * j + 1])
     open_ends = {c: (stats[f"min{i}"], stats[f"max{i}"]) for i, c in enumerate(columns)}
     todo = dict(brackets)
     while todo:

@@ -19,10 +19,10 @@ def numbers(spark):
     return spark.createDataFrame(list(zip(x, y)), "x double, y int").repartition(4)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 10])
-def test_quantiles(numbers, limit):
+@pytest.mark.parametrize("slack", [running.SLACK, 0.2, 0.0])
+def test_quantiles(numbers, slack):
     qs = (0.0, 0.01, 0.333, 0.5, 0.9, 1.0)
-    got = running.order_statistics(numbers, {"x": qs, "y": qs}, limit=limit)
+    got = running.order_statistics(numbers, {"x": qs, "y": qs}, slack=slack)
     pdf = numbers.toPandas()
     for c in "xy":
         for q in qs:
@@ -50,11 +50,22 @@ def test_running_totals(numbers, edges):
         assert {r["n_total"] for r in g} == {below}
 
 
-def test_edges_appear_beyond_the_limit(numbers):
-    clean = numbers.where("NOT isnan(x)")
-    assert running.value_edges(clean, "x") == []
-    edges = running.value_edges(clean, "x", limit=10, parts=8)
-    assert 1 < len(edges) <= 7 and edges == sorted(edges)
+def test_running_totals_of_odd_values_do_not_depend_on_parts(numbers):
+    """NULL and NaN values have the same place, and the result the same schema, whatever the parts."""
+    table = numbers.groupBy("x").agg(F.count("*").alias("n"))
+    one, many = (running.running_totals(table, "x", ["n"], [], e) for e in ([], [-1.0, 0.0, 0.25, 0.7]))
+    assert one.schema == many.schema
+    rows = [sorted(map(str, d.collect())) for d in (one, many)]
+    assert rows[0] == rows[1] and len(rows[0]) == table.count()
+
+
+def test_edges_are_even_by_distinct_values(numbers):
+    assert running.value_edges(numbers, "x") == []
+    edges = running.value_edges(numbers, "x", per_part=250)
+    assert 7 <= len(edges) <= 9 and edges == sorted(edges)
+    values = sorted({r["x"] for r in numbers.where("NOT isnan(x)").collect() if r["x"] is not None})
+    cuts = [0, *np.searchsorted(values, edges), len(values)]
+    assert max(np.diff(cuts)) < 2 * len(values) / (len(edges) + 1)
 
 
 def test_grouped_quantiles(numbers):

@@ -3,6 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from lendspark.operators import profile
 from lendspark import schemas as sch
 from lendspark.errors import EntityNotFoundError
 from lendspark.functions.features import add_derived_features
@@ -126,3 +127,15 @@ def test_approximate_distinct_counts(apps):
     near = {r["column"]: r["n_distinct"] for r in distinct_counts(apps, ["age", "term_months"], True).collect()}
     assert exact["term_months"] == near["term_months"] == 2
     assert abs(exact["age"] - near["age"]) <= 0.15 * exact["age"]
+
+
+def test_profiles_of_nan_negative_zero_and_empty_columns(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 0.0, None), (2.0, -0.0, None), (3.0, 5.0, None), (nan, None, None), (900.0, 5.0, None)], "x double, z double, e double")
+    assert {r["column"]: r["n_distinct"] for r in profile.distinct_counts(df, ["z"]).collect()} == {"z": 2}
+    stats = {r["column"]: r for r in profile.numeric_profile(df, ["x", "e"]).collect()}
+    assert (stats["x"]["n"], stats["x"]["max"], stats["x"]["mean"], stats["x"]["median"]) == (4, 900.0, 226.5, 2.5)
+    assert (stats["e"]["n"], stats["e"]["median"], stats["e"]["mean"]) == (0, None, None)
+    for columns in (["x", "e"], ["e"]):
+        out = {r["column"]: (r["n_low"], r["n_high"], r["lower"] is None) for r in profile.outliers_iqr(df, columns).collect()}
+        assert out == {c: (0, 1, False) if c == "x" else (0, 0, True) for c in columns}
