@@ -4,8 +4,8 @@ Shingles (five words) become 64-bit hashes; PERMUTATIONS universal hashes ``(a x
 of which the upper 32 bits are compared, give one least value each. A fingerprint keeps 16 bits of every
 least value. All of it is vectorised numpy inside Arrow batches. ``likeness`` is the share of equal places.
 
-``near_duplicates`` joins bands of signatures in Spark: one row per document with the same fingerprint, a
-star of pairs from each band's least member (no pairs within a band), Jaccard verified on whole sets, and
+``near_duplicates`` joins bands of signatures in Spark: one row per set of shingles, all pairs of sets that
+share a band (their number grows with the square of a band's members), Jaccard verified on whole sets, and
 components of the verified links.
 
 ``edited_fingerprints`` pairs each document with the next one: one range shuffle by id, sorted; a task sees
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lendspark.llm.components import components
 from lendspark.llm.frames import keyed, stored, text_bytes
-from lendspark.llm.words import blocks, distinct_by_text, shingle_hashes, word_hashes
+from lendspark.llm.words import blocks, distinct_by_text, mix, shingle_hashes, word_hashes
 
 PERMUTATIONS = 64
 BANDS = 16  # of 4 values: a pair of similarity 0.8 meets in one with probability 0.9998
@@ -72,37 +72,85 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, component_id, n_links): documents linked by a band and a Jaccard similarity of percent or more."""
-    prints = stored(fingerprints(docs, k).where("doc_id IS NOT NULL"), "fingerprints")
-    equal = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("id")), "equal-fingerprints")
-    size = 2 * PERMUTATIONS // BANDS
-    band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("fingerprint", i * size + 1, F.lit(size))))
-    members = stored(equal.select("id", band.alias("band", "value")), "bands")
-    star = members.groupBy("band", "value").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = members.join(star, ["band", "value"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    pairs = pairs.unionByName(prints.join(equal, "fingerprint").where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
-    links = stored(_verified(docs, stored(pairs.distinct(), "pairs"), percent, k), "near-links")
-    n = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    known = components(links).join(n, "id", "full")
+    """(doc_id, component_id, n_links): documents linked by a band and a Jaccard similarity of percent or more.
+
+    ``n_links`` is the number of other documents linked with this one, copies included. An id with several
+    texts is one document of a component and has the links of each of its texts.
+    """
+    rows = stored(keyed(docs, "text").mapInArrow(_marks(k), "doc_id long, n int, s1 long, s2 long, fingerprint binary"), "fingerprints")
+    rows = rows.where("n > 0 AND doc_id IS NOT NULL").distinct()
+    equal = rows.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("fingerprint").alias("fingerprint"))
+    equal = stored(equal.withColumn("node", F.struct("id", "s1", "s2")), "equal-sets")
+    pairs = stored(_band_pairs(equal, percent), "pairs")
+    links = stored(_verified(docs, pairs, percent, k), "near-links")
+    of = stored(rows.join(equal.select("n", "s1", "s2", "node", "copies"), ["n", "s1", "s2"]).select("doc_id", "node", "copies"), "nodes")
+    texts = of.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
+    several = of.join(texts, "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
+    member = components(links.unionByName(several)).select(F.col("id").alias("node"), F.col("component.id").alias("component"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.join(equal.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("near"))
+    known = of.join(member, "node", "left").join(near, "node", "left").groupBy(F.col("doc_id").alias("id")).agg(
+        F.min(F.coalesce("component", "node.id")).alias("component"), F.sum(F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links")
+    )
     return keyed(docs).join(known, F.col("doc_id") == F.col("id"), "left").select(
         "doc_id", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")
     )
 
 
+def _band_pairs(equal: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of all sets that share a band and whose sizes allow the similarity."""
+    size = 2 * PERMUTATIONS // BANDS
+    band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("fingerprint", i * size + 1, F.lit(size))))
+    members = stored(equal.select("node", "n", band.alias("band", "value")), "bands")
+    left, right = (members.select("band", "value", F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    near = f"a < b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    return left.join(right, ["band", "value"]).where(near).select("a", "b").distinct()
+
+
+def _marks(k: int):
+    """Number of shingles, two sums of their hashes and the fingerprint of each row; equal sets are equal in all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id")
+            for start, texts in blocks(text_bytes(batch.column("text"))):
+                n, s1, s2, _, _ = _sets(texts, k)
+                prints = [s.tobytes() for s in signatures(texts, k)]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(start, len(texts)), *map(pa.array, (n, s1, s2)), pa.array(prints, pa.binary())],
+                    names=["doc_id", "n", "s1", "s2", "fingerprint"],
+                )
+
+    return run
+
+
+def _sets(texts: list[bytes], k: int) -> tuple[np.ndarray, ...]:
+    sets, bounds = distinct_by_text(*shingle_hashes(*word_hashes(texts), k))
+    marks = []
+    for salt in (11, 12):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(sets, salt), dtype=np.uint64)])
+        marks.append((sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64))
+    return np.diff(bounds).astype(np.int32), *marks, sets, bounds
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in blocks(text_bytes(batch.column("text"))):
-                sets, bounds = distinct_by_text(*shingle_hashes(*word_hashes(texts), k))
+                _, s1, s2, sets, bounds = _sets(texts, k)
                 lists = [sets[a:b].view(np.int64) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, len(texts)), pa.array(lists, pa.list_(pa.int64()))], names=["id", "tokens"])
-
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = keyed(docs, "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
-    sets = stored(texts.mapInArrow(run, "id long, tokens array<long>"), "pair-sets")
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(start, len(texts)), pa.array(s1), pa.array(s2), pa.array(lists, pa.list_(pa.int64()))],
+                    names=["id", "s1", "s2", "tokens"],
+                )
+
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = keyed(docs, "text").join(nodes.select(F.col("node.id").alias("id")).distinct(), F.col("doc_id") == F.col("id"), "left_semi")
+    found = texts.mapInArrow(run, "id long, s1 long, s2 long, tokens array<long>").select(F.struct("id", "s1", "s2").alias("node"), "tokens")
+    sets = stored(found.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "pair-sets")
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     both = both.select("a", "b", F.expr("size(x) + size(y)").alias("n"), F.expr("size(array_intersect(x, y))").alias("i"))
-    return both.where(f"i > 0 AND 100 * i >= {percent} * (n - i)").select("a", "b").distinct()
+    return both.where(f"100 * i >= {percent} * (n - i)").select("a", "b")
 
 
 def edited(text: str, following: str) -> str:

@@ -108,6 +108,26 @@ def test_near_duplicates_by_bands(spark, docs):
     assert got[0][1] == 2 and got[11] == (11, 0)
 
 
+def test_near_duplicates_behind_a_template(docs):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    template = words("t", 200)
+    texts = [f"{template} {words(f'a{j}x', 34)}" for j in range(20)]  # 0.74 to each other, 0.78 to the last three
+    texts += [f"{template} {words(name, 20)}" for name in ("b", "c", "d")]
+    texts += [texts[20], None, ""]
+    got = {r.doc_id: (r.component_id, r.n_links) for r in near_duplicates(docs(texts)).collect()}
+    want = brute_components(list(enumerate(texts)), 5, 80)
+    assert {i: c for i, (c, _) in got.items()} == want
+    assert {i for i, c in want.items() if c == 20} == {20, 21, 22, 23}
+    assert [got[i][1] for i in (0, 20, 21, 22, 23, 24, 25)] == [0, 3, 3, 3, 3, 0, 0]
+
+
+def test_near_duplicates_of_repeated_ids(odd):
+    got = near_duplicates(odd, k=3).collect()
+    assert len(got) == odd.count()
+    by_id = {r.doc_id: (r.component_id, r.n_links) for r in got}
+    assert by_id[4] == by_id[5] == (4, 1) and by_id[6] == (6, 0) and by_id[None] == (None, 0)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 102), (102, 101), (7, 7)], "a long, b long")
     got = {r.id: r.component for r in components(links).collect()}
