@@ -36,7 +36,8 @@ from lendspark.sources import readers, sinks
 from lendspark.sources.views import with_scorecard
 from lendspark.streaming import jobs as stream
 
-# Small trees: these queries show that the whole flow runs, bench-size fits are parameters.
+
+# Small trees for the explanation only.
 _SMALL = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3}
 
 
@@ -198,7 +199,7 @@ def fit_logistic(spark, sf_dir):
 @query()
 def fit_forest(spark, sf_dir):
     rows = _training_rows(spark, sf_dir)
-    model = tr.train(_part(rows, "train"), tr.forest(numTrees=10, maxDepth=4))
+    model = tr.train(_part(rows, "train"), tr.forest())
     return _report(model, rows, "forest")
 
 
@@ -206,7 +207,7 @@ def fit_forest(spark, sf_dir):
 def fit_boosted(spark, sf_dir):
     """The primary model with class weights."""
     rows = _training_rows(spark, sf_dir)
-    model = tr.train(_part(rows, "train"), tr.boosted("weight", **_SMALL), weighted=True)
+    model = tr.train(_part(rows, "train"), tr.boosted("weight"), weighted=True)
     return _report(model, rows, "boosted")
 
 
@@ -222,13 +223,7 @@ def fit_oversampled(spark, sf_dir):
 def search(spark, sf_dir):
     """Cross-validated random search; one row per candidate with its mean ROC-AUC."""
     rows = _part(_training_rows(spark, sf_dir), "train")
-    found = tr.search(
-        rows,
-        trials=2,
-        space={"max_depth": (2, 3), "learning_rate": (0.1, 0.3)},
-        parallelism=2,
-        fixed={"n_estimators": 3},
-    )
+    found = tr.search(rows)
     means = [(i, float(m)) for i, m in enumerate(found.avgMetrics)]
     total = rows.agg(F.count(F.lit(1)).alias("n_rows"))
     out = spark.createDataFrame(means, "candidate int, roc_auc double")
@@ -242,8 +237,8 @@ def baseline_table(spark, sf_dir):
     train = _part(rows, "train")
     models = {
         "logistic": tr.train(train, tr.logistic()),
-        "forest": tr.train(train, tr.forest(numTrees=5, maxDepth=3)),
-        "boosted": tr.train(train, tr.boosted(**_SMALL)),
+        "forest": tr.train(train, tr.forest()),
+        "boosted": tr.train(train, tr.boosted()),
     }
     return tr.comparison(models, _part(rows, "validation"))
 

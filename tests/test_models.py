@@ -1,4 +1,7 @@
+from types import SimpleNamespace
+
 import pytest
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,6 +12,7 @@ from lendspark.operators.metrics import brier_score
 from lendspark.operators.split import split_and_folds
 from lendspark.operators.validate import TRAINING, missing_at_input, valid_rows
 from lendspark.plans import training as tr
+from lendspark.plans.catalogue import QUERIES
 from lendspark.plans.scoring import model_score
 from lendspark.sources.views import applications
 
@@ -72,6 +76,32 @@ def test_boosted_parameters():
     assert est.getWeightCol() == "weight"
 
 
+def test_registered_fits_use_the_declared_parameters(spark, sf, model, monkeypatch):
+    seen, searched = [], {}
+    monkeypatch.setattr(tr, "train", lambda df, est, weighted=False: seen.append((est, weighted)) or model)
+
+    class Validator:
+        def __init__(self, **kwargs):
+            searched.update(kwargs)
+
+        def fit(self, df):
+            return SimpleNamespace(avgMetrics=[0.5] * len(searched["estimatorParamMaps"]))
+
+    monkeypatch.setattr(tr, "CrossValidator", Validator)
+    for name in ("fit_boosted", "fit_forest", "baseline_table"):
+        QUERIES[name](spark, sf)
+    boosted = [(e, w) for e, w in seen if isinstance(e, GBTClassifier)]
+    assert [w for _, w in boosted] == [True, False]
+    for e, _ in boosted:
+        assert (e.getMaxIter(), e.getMaxDepth(), e.getStepSize(), e.getSubsamplingRate()) == (300, 5, 0.05, 0.8)
+    forests = [e for e, _ in seen if isinstance(e, RandomForestClassifier)]
+    plain = tr.forest()
+    assert [(e.getNumTrees(), e.getMaxDepth()) for e in forests] == [(plain.getNumTrees(), plain.getMaxDepth())] * 2
+    assert QUERIES["search"](spark, sf).count() == 10
+    varied = {p.name for m in searched["estimatorParamMaps"] for p in m}
+    assert varied == {tr.BOOSTED_PARAMS[k] for k in tr.SEARCH_SPACE} and len(varied) == 7
+
+
 def test_candidates_repeat_with_the_seed():
     a = tr.draw_candidates(tr.SEARCH_SPACE, 20)
     assert a == tr.draw_candidates(tr.SEARCH_SPACE, 20) != tr.draw_candidates(tr.SEARCH_SPACE, 20, seed=1)
