@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendspark.errors import ExplanationError
@@ -74,6 +74,26 @@ def global_importance(df: DataFrame, impacts: dict[str, Column]) -> DataFrame:
     return rows.orderBy(F.col("importance").desc(), "feature")
 
 
+#: The background is numbered in so many slices of its hashes, whose sizes reach the driver.
+SLICES = 1024
+
+
+def _numbered(background: DataFrame, features: Sequence[str], seed: int) -> tuple[DataFrame, int]:
+    """(_place, _other) of all background rows, numbered from 0 in the order of slice, hash and values; and their number."""
+    marked = background.select(F.struct(*features).alias("_other"), F.xxhash64(F.lit(seed), *features).alias("_h"))
+    marked = marked.withColumn("_slice", F.pmod("_h", F.lit(SLICES)).cast("int"))
+    sizes = {r["_slice"]: r["count"] for r in marked.groupBy("_slice").count().collect()}
+    if not sizes:
+        raise ExplanationError("the background table is empty")
+    starts, total = [], 0
+    for i in range(SLICES):
+        starts.append(total)
+        total += sizes.get(i, 0)
+    before = F.get(F.lit(starts).cast("array<bigint>"), F.col("_slice"))
+    place = F.row_number().over(Window.partitionBy("_slice").orderBy("_h", "_other")) - 1
+    return marked.select((before + place).alias("_place"), "_other"), total
+
+
 def sampled_shapley(
     df: DataFrame,
     key: str,
@@ -81,7 +101,6 @@ def sampled_shapley(
     score: Callable[[DataFrame], DataFrame],
     background: DataFrame,
     permutations: int = 8,
-    background_rows: int = 64,
     seed: int = SEED,
 ) -> DataFrame:
     """Shapley values by seeded permutation sampling, for any model with a probability.
@@ -93,23 +112,15 @@ def sampled_shapley(
     add up to ``p(row) - p(background row)`` exactly.
 
     All walks are rows of one DataFrame, so the model runs once over the whole
-    set. The background is at most ``background_rows`` rows, held as a literal;
-    explained rows are never grouped beyond their own walks.
+    set: ``permutations * (features + 1)`` scorings per row. The background is the
+    whole table; each walk draws its row by a hash of key and walk, through a join.
+    Explained rows are never grouped beyond their own walks.
 
     Returns key, feature, impact, direction.
     """
     features = list(features)
-    marked = background.select(*features).withColumn("_h", F.xxhash64(F.lit(seed), *features))
-    sample = marked.orderBy("_h", *features).limit(background_rows).drop("_h").collect()
-    if not sample:
-        raise ExplanationError("the background table is empty")
     types = dict(background.dtypes)
-    pool = F.array(
-        *[
-            F.struct(*[F.lit(r[f]).cast(types[f]).alias(f) for f in features])
-            for r in sample
-        ]
-    )
+    pool, total = _numbered(background, features, seed)
     draw = random.Random(seed)
     orders = []
     for _ in range(permutations):
@@ -129,7 +140,8 @@ def sampled_shapley(
     walked = (
         df.select(key, F.struct(*[F.col(f).cast(types[f]).alias(f) for f in features]).alias("_own"))
         .withColumn("_walk", F.explode(walks))
-        .withColumn("_other", F.get(pool, F.pmod(F.xxhash64(key, "_walk.w", F.lit(seed)), F.lit(len(sample))).cast("int")))
+        .withColumn("_place", F.pmod(F.xxhash64(key, "_walk.w", F.lit(seed)), F.lit(total).cast("bigint")))
+        .join(pool, "_place")
         .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
     )
     mixed = walked.select(

@@ -29,7 +29,7 @@ from lendspark.plans.catalogue.base import (
     table,
 )
 from lendspark.plans.catalogue.tables import raw_file
-from lendspark.plans.scoring import model_score, prediction_rows, score_batch, with_risk
+from lendspark.plans.scoring import model_score, prediction_rows, score_batch
 from lendspark.schemas import APPLICATION, RAW_FILE, SEED, TARGET
 from lendspark.session import scratch_path
 from lendspark.sources import readers, sinks
@@ -37,10 +37,6 @@ from lendspark.sources.views import with_scorecard
 from lendspark.streaming import jobs as stream
 
 
-# Small trees for the explanation only.
-_SMALL = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3}
-
-
 # ------------------------------------------------------------------------ files
 @query(f"""
 WITH {BASE}
@@ -297,13 +293,12 @@ def batch_score(spark, sf_dir):
 
 @query()
 def shapley_sampled(spark, sf_dir):
-    """Sampled contributions of the riskiest class under a boosted model, averaged per feature."""
+    """Sampled contributions of all test rows under the primary model, averaged per feature."""
     rows = _training_rows(spark, sf_dir)
-    model = tr.train(_part(rows, "train"), tr.boosted(**_SMALL))
+    model = tr.train(_part(rows, "train"), tr.boosted())
     features = [*tr.NUMERIC, *tr.CATEGORICAL, "total_debt"]
-    picked = with_risk(model_score(model)(_part(rows, "test"))).where(F.col("risk_level") != "LOW")
     impacts = explain.sampled_shapley(
-        picked, "application_id", features, model_score(model), _part(rows, "train"), permutations=2
+        _part(rows, "test"), "application_id", features, model_score(model), _part(rows, "train")
     )
     return impacts.groupBy("feature").agg(
         F.round(F.avg(F.abs("impact")), 6).alias("importance"), F.count(F.lit(1)).alias("n")

@@ -179,3 +179,29 @@ def test_shapley_of_a_linear_score_is_exact(spark):
     out = explain.sampled_shapley(df, "id", ["a", "b"], lambda d: d.withColumn("p", F.expr("2 * a + b")), base)
     got = {(r["id"], r["feature"]): r["impact"] for r in out.collect()}
     assert got == pytest.approx({(1, "a"): 4.0, (1, "b"): 8.0, (2, "a"): 12.0, (2, "b"): -6.0})
+
+
+def test_shapley_draws_from_the_whole_background(spark):
+    df = spark.createDataFrame([(i, 0.0) for i in range(3000)], "id bigint, a double")
+    base = spark.createDataFrame([(float(i),) for i in range(1, 501)] + [(None,)], "a double")
+    plain = lambda d: d.withColumn("p", F.coalesce("a", F.lit(-7.0)))
+
+    def drawn(background):
+        out = explain.sampled_shapley(df, "id", ["a"], plain, background, permutations=1)
+        return {r["id"]: -r["impact"] for r in out.collect()}
+
+    got = drawn(base)
+    assert len(got) == 3000 and set(got.values()) <= {*map(float, range(1, 501)), -7.0}
+    assert len(set(got.values())) > 450
+    assert got == drawn(base.repartition(7))
+
+
+def test_registered_shapley_explains_all_test_rows(spark, sf, rows, model, monkeypatch):
+    seen, given = [], {}
+    whole = explain.sampled_shapley
+    monkeypatch.setattr(tr, "train", lambda df, est, weighted=False: seen.append(est) or model)
+    monkeypatch.setattr(explain, "sampled_shapley", lambda *a, **k: given.update(k) or whole(*a, **k))
+    out = QUERIES["shapley_sampled"](spark, sf).collect()
+    assert (seen[0].getMaxIter(), seen[0].getMaxDepth()) == (300, 5) and given == {}
+    assert {r["n"] for r in out} == {rows.where("split = 'test'").count()}
+    assert len(out) == len(tr.NUMERIC) + len(tr.CATEGORICAL) + 1
