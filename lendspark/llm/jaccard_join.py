@@ -12,6 +12,7 @@ over all documents. Any error in it changes the speed only.
    of near copies collapse without their pairs.
 4. Remaining pairs are joined only across components, under the length bound and the bound on the overlap
    that the two prefix positions leave.
+   ``links`` therefore has enough pairs for the components, not all; ``all_links`` lists all of them.
 5. Candidates of 3 and 4 must also share a prefix token under every other order; those left are verified
    on the whole sets with integer arithmetic.
 
@@ -259,6 +260,21 @@ class JaccardJoin:
         rest = rest.select(F.col("id1").alias("a"), F.col("id2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         return near.unionByName(self._verified(stored(rest, "cross-pairs")))
 
+    def all_links(self) -> DataFrame:
+        """(a, b) of all similar pairs of representatives; with ``membership`` the whole result of the join.
+
+        The pairs are listed, so their number grows with the square of a group of near copies.
+        """
+        live = self._shared_prefixes()
+        left, right = (live.select("token", *[F.col(c).alias(f"{c}{i}") for c in ("id", "n", "pos")]) for i in (1, 2))
+        pairs = left.join(right, "token").where("id1 < id2 AND " + self._overlap_left("n1", "pos1", "n2", "pos2"))
+        return self._verified(stored(pairs.select(F.col("id1").alias("a"), F.col("id2").alias("b")).distinct(), "all-pairs"))
+
+    def membership(self) -> DataFrame:
+        """(doc_id, id): the representative of each document's set; documents with the same one are similar too."""
+        at = self.rows.where("doc_id IS NOT NULL").join(self.equal, ["n", "s1", "s2"])
+        return at.select("doc_id", "id").distinct()
+
     def classes_of_documents(self) -> DataFrame:
         """(doc_id, n_shingles, component_id) for every row."""
         member = components(self.links())

@@ -6,7 +6,7 @@ import pytest
 
 from lendspark.llm import exact_dedup, line_dedup
 from lendspark.llm.components import components
-from lendspark.llm.jaccard_join import jaccard_components
+from lendspark.llm.jaccard_join import JaccardJoin, jaccard_components
 from lendspark.llm.minhash import near_duplicates
 from lendspark.llm.queries import ORACLES, QUERIES
 from compare import connect, difference
@@ -90,6 +90,25 @@ def test_jaccard_components_are_exact(docs, k, percent):
     assert got == brute_components(texts, k, percent)
 
 
+def test_all_links_inside_one_component(docs):
+    random.seed(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(30):
+        t = list(base)
+        for _ in range(i % 4):
+            t[random.randrange(60)] = f"x{random.randrange(999)}"
+        texts.append(" ".join(t))
+    join = JaccardJoin(docs(texts), 3, 80)
+    rep = {r.doc_id: r.id for r in join.membership().collect()}
+    links = {(r.a, r.b) for r in join.all_links().collect()}
+    got = {(i, j) for i in rep for j in rep if i < j and (rep[i] == rep[j] or tuple(sorted((rep[i], rep[j]))) in links)}
+    sets = [shingles(t, 3) for t in texts]
+    want = {(i, j) for i in range(30) for j in range(i + 1, 30) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert got == want and 100 < len(want) < 435
+    assert len(links) > join.links().count()
+
+
 def test_jaccard_on_odd_rows(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = jaccard_components(odd, 3, 90).collect()
