@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from test_dedup import brute_components, kept_lines
 from lendspark.llm import interpolation, language_id, minhash, mixing, toxicity, trie_bpe
 from lendspark.llm.frames import stored
 from lendspark.llm.queries import QUERIES, TARGETS, quality_domains
@@ -188,3 +189,26 @@ def test_pipeline_stages(spark, sf):
             assert after.count() == before.count() and after.where("n_chars <> length(text)").count() == 0
         before = after
     assert corpus_pipeline.STAGES[-1][1](spark, before, sf).count() == before.count() == corpus_pipeline.run(spark, sf).count()
+
+
+def test_pipeline_stages_by_brute_force(spark, sf, docs):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    line = "this very line is in three documents"
+    texts = [f"{line}\n{words('a', 60)}", f"{line}\n{words('b', 60)} one", f"{line}\n{words('b', 60)} two", words("c", 30), words("c", 30), None, ""]
+    rows = list(enumerate(texts))
+    lines = corpus_pipeline.drop_lines(spark, docs(rows), sf).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in lines) == [(i, t) for i, t, _ in kept_lines(rows)]
+    assert lines and all(r.n_chars == len(r.text) for r in lines if r.text is not None)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs(rows), sf).collect()}
+    assert kept == {i for i, c in brute_components(rows, 5, 80).items() if i == c} and len(kept) < len(rows)
+    encoded = {r.doc_id: r.n_tokens for r in corpus_pipeline.encode(spark, docs(rows), sf).collect()}
+    assert encoded == {i: len(LIBRARY[WORD].encode(t or "", add_special_tokens=False).ids) for i, t in rows}
+
+
+def test_pipeline_follows_its_operators(spark, sf):
+    whole = spark.read.parquet(f"{sf}/documents.parquet")
+    count = lambda df: Counter(r.doc_id for r in df.select("doc_id").collect())
+    toxic = {r.doc_id for r in toxicity.toxicity(whole, spark.read.parquet(f"{sf}/labels.parquet")).where("predicted = 1").collect()}
+    assert count(corpus_pipeline.drop_toxic(spark, whole, sf)) == Counter({i: n for i, n in count(whole).items() if i not in toxic})
+    r = mixing.rates(whole, quality_domains(spark, sf), TARGETS).select("doc_id", mixing.copies(F.col("rate")).alias("n")).collect()
+    assert count(corpus_pipeline.mix_to_targets(spark, whole, sf)) == Counter({x.doc_id: x.n for x in r if x.n})
