@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm import exact_dedup, interpolation, jaccard_join, language_id, line_dedup, minhash, mixing, token_files, toxicity, trie_bpe
+from lendspark.llm import (
+    exact_dedup, interpolation, jaccard_join, language_id, line_dedup, minhash, mixing, substring_dedup, token_files, toxicity, trie_bpe,
+)
 from lendspark.llm.frames import documents, sha256_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +113,28 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
 WINDOW g AS (PARTITION BY text_sha256)
 """
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.SubstringDedup(documents(spark, sf_dir), window=35).digests().drop("spans")
+
+
+ORACLES["op11_substring_dedup"] = r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, first, array_to_string(words[first:first + 34], ' ') AS sequence
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS first FROM split)
+),
+often AS (SELECT sequence FROM windows GROUP BY sequence HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(first, first + 35)) AS pos FROM windows WHERE sequence IN (SELECT sequence FROM often)
+),
+every AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM split),
+kept AS (
+  SELECT e.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY e.pos) AS text
+  FROM every e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos GROUP BY e.doc_id
+)
+SELECT s.doc_id, len(words)::BIGINT AS n_words, len(words) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
+"""

@@ -17,6 +17,7 @@ _rng = np.random.default_rng(20240229)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _VALUES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+CASED = _VALUES.copy()  # every byte has a value of its own
 _VALUES[65:91] = _VALUES[97:123]  # A-Z hash as a-z
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -53,14 +54,23 @@ def blocks(texts: Sequence[bytes], most: int = BLOCK_BYTES) -> Iterator[tuple[in
         yield start, list(texts[start:])
 
 
-def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word of all texts in order, bounds): text i has words bounds[i]:bounds[i + 1]."""
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n or more powers of the base of the word hashes, and their inverses."""
+    _grow(n)
+    return _powers, _inverses
+
+
+def word_hashes(texts: Sequence[bytes], space: np.ndarray = _SPACE, values: np.ndarray = _VALUES) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word of all texts in order, bounds): text i has words bounds[i]:bounds[i + 1].
+
+    ``space`` marks the bytes between words (0x20 must be one); ``values`` is a value for each byte.
+    """
     raw = np.frombuffer(b" ".join([b"", *texts, b""]), dtype=np.uint8)
     _grow(len(raw) + 1)
-    gap = _SPACE[raw]
+    gap = space[raw]
     edges = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     starts, ends = edges[0::2], edges[1::2]
-    sums = _VALUES[raw]
+    sums = values[raw]
     sums *= _powers[: len(raw)]
     np.cumsum(sums, out=sums)
     hashes = (sums[ends - 1] - sums[starts - 1]) * _inverses[starts]
