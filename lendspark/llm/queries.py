@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark.llm import (
-    exact_dedup, interpolation, jaccard_join, language_id, line_dedup, minhash, mixing, substring_dedup, token_files, toxicity, trie_bpe,
+    exact_dedup, interpolation, jaccard_join, language_id, line_dedup, minhash, mixing, ranked_search, substring_dedup, token_files, toxicity,
+    trie_bpe,
 )
 from lendspark.llm.frames import documents, sha256_text
 
@@ -138,3 +139,35 @@ kept AS (
 SELECT s.doc_id, len(words)::BIGINT AS n_words, len(words) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
 FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
 """
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)
+
+
+ORACLES["op12_ranked_search"] = r"""
+WITH found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+posting AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY doc_id, term),
+total AS (SELECT count(DISTINCT doc_id) AS n_docs, count(*) AS n_terms FROM found),
+doc AS (SELECT doc_id, 10 + (90 * count(*) * (SELECT n_docs FROM total)) // (SELECT n_terms FROM total) AS m FROM found GROUP BY doc_id),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * (SELECT n_docs FROM total) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM posting WHERE term IN (SELECT term FROM items) GROUP BY term
+),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM items JOIN weight USING (term) JOIN posting USING (term) JOIN doc USING (doc_id) GROUP BY item_id, doc_id
+),
+placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+"""
