@@ -289,7 +289,8 @@ class SubstringDedup:
         """(doc_id, mark, runs): runs of repeated windows (first, number, in turn) of each passage that has one."""
         shape = "doc_id long, mark long, anchor long, seg long, start int, n int"
         all_ = stored(_rows(self.docs).mapInArrow(_passages(self.window, self.anchor_words), shape), "passages")
-        often = all_.groupBy("anchor").count().where("count > 1").select("anchor")
+        # stored, so that the join has a shuffle of its own and an anchor with very many passages can be split
+        often = stored(all_.groupBy("anchor").count().where("count > 1").select("anchor"), "often")
         places = stored(all_.join(often, "anchor"), "repeated-anchors")
         one = [F.first(c).alias(c) for c in ("doc_id", "mark", "start", "n")]
         reference = stored(places.groupBy("anchor", "seg").agg(F.count(F.lit(1)).alias("copies"), *one), "reference")
