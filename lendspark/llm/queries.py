@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark.llm import (
-    exact_dedup, interpolation, jaccard_join, language_id, line_dedup, minhash, mixing, ranked_search, substring_dedup, token_files, toxicity,
-    trie_bpe,
+    exact_dedup, interpolation, jaccard_join, language_id, line_dedup, minhash, mixing, ranked_search, spelling, substring_dedup, token_files,
+    toxicity, trie_bpe,
 )
 from lendspark.llm.frames import documents, sha256_text
 
@@ -171,3 +171,8 @@ scored AS (
 placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
 """
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(documents(spark, sf_dir)))
