@@ -5,11 +5,15 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Sequence
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendspark.errors import ExplanationError
+from lendspark.functions.features import add_derived_features
 from lendspark.functions.scalar import direction
+from lendspark.plans.prepare import PreparedColumns
 from lendspark.schemas import SEED
 
 
@@ -32,6 +36,31 @@ def linear_impacts(
     }
 
 
+def fitted_impacts(model: PipelineModel) -> tuple[float, dict[str, Column]]:
+    """(intercept, source column -> its part of the log-odds) of a fitted logistic model.
+
+    A source column is what the model was trained on, derived features included: scale, flag and category slots
+    of one column are one sum. With the intercept the parts add up to the log-odds of the model.
+    """
+    steps = {type(s): s for s in model.stages}
+    if PreparedColumns not in steps or LogisticRegressionModel not in steps:
+        raise ExplanationError("exact contributions need a fitted preparation and a logistic model")
+    linear = steps[LogisticRegressionModel]
+    parts: dict[str, Column] = {}
+    for (source, value), weight in zip(steps[PreparedColumns].slots(), linear.coefficients.toArray().tolist(), strict=True):
+        term = value * F.lit(weight)
+        parts[source] = parts[source] + term if source in parts else term
+    return linear.intercept, parts
+
+
+def explain_fitted(model: PipelineModel, df: DataFrame, column: str = "explanation") -> DataFrame:
+    """Append the ranked contributions of a fitted logistic model: one projection, no second transform."""
+    _, parts = fitted_impacts(model)
+    named = {f: f"_impact {i}" for i, f in enumerate(parts)}
+    rows = add_derived_features(df).select(*df.columns, *[parts[f].alias(n) for f, n in named.items()])
+    return rows.select(*df.columns, ranked({f: F.col(f"`{n}`") for f, n in named.items()}).alias(column))
+
+
 def ranked(impacts: dict[str, Column]) -> Column:
     """``array<struct<feature, impact, direction>>`` by falling \\|impact\\|, ties by name."""
     keyed = F.array(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.errors import PySparkException
@@ -29,6 +29,8 @@ class ArtifactMetadata:
     feature_version: str
     metrics: dict[str, float]
     trained_at: datetime
+    #: Column -> type of what the model reads; empty where it is not known.
+    columns: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -123,7 +125,7 @@ def save_artifact(
 def metadata_frame(spark: SparkSession, m: ArtifactMetadata) -> DataFrame:
     row = (
         m.name, m.version, m.algorithm, m.dataset_version, m.feature_version,
-        {k: float(v) for k, v in m.metrics.items()}, m.trained_at,
+        {k: float(v) for k, v in m.metrics.items()}, m.trained_at, m.columns,
     )
     return spark.createDataFrame([row], ARTIFACT_METADATA)
 
@@ -144,6 +146,7 @@ def load_metadata(spark: SparkSession, path: str) -> ArtifactMetadata:
             raw["feature_version"],
             dict(raw.get("metrics", {})),
             at.astimezone(timezone.utc),
+            dict(raw.get("columns") or {}),
         )
     except (ValueError, KeyError, TypeError, AttributeError) as err:
         raise ModelLoadError(f"metadata of {path} cannot be read") from err

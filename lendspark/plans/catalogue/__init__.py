@@ -4,6 +4,7 @@ from lendspark.plans.catalogue import (  # noqa: F401
     evaluation,
     jobs,
     joins,
+    models,
     monitoring,
     preparation,
     quality,

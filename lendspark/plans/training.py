@@ -9,24 +9,17 @@ from datetime import datetime, timezone
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import (
-    Imputer,
-    OneHotEncoder,
-    SQLTransformer,
-    StandardScaler,
-    StringIndexer,
-    VectorAssembler,
-)
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendspark.functions.features import DERIVED, DerivedFeatures
+from lendspark.functions.features import DERIVED, DERIVED_SQL, DerivedFeatures
 from lendspark.operators.metrics import evaluation_report
 from lendspark.operators.profile import add_class_weight
 from lendspark.operators.registry import ArtifactMetadata
 from lendspark.operators.running import order_statistics
+from lendspark.plans.prepare import PrepareColumns, PreparedColumns
 from lendspark.plans.scoring import model_score
 from lendspark.schemas import FORBIDDEN_FEATURES, SEED, TARGET
 
@@ -43,8 +36,7 @@ NUMERIC = (
     "credit_utilization",
     "active_credit_lines",
 )
-CATEGORICAL = ("home_ownership", "loan_intent")
-FLAGGED = ("employment_years", "interest_rate", "term_months")
+CATEGORICAL = ("home_ownership", "loan_intent", "loan_grade")
 
 #: Starting parameters of the primary model (fixed values).
 BOOSTED_START = {
@@ -125,43 +117,29 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
 def preprocessing(
     numeric: Sequence[str] = NUMERIC,
     categorical: Sequence[str] = CATEGORICAL,
-    flagged: Sequence[str] = FLAGGED,
     derived: Sequence[str] = DERIVED,
 ) -> list:
     """Stages from raw application columns to ``features``.
 
     Derived features come first, so they are part of the saved model. Everything
-    that learns (medians, scale, category index) does so when the stages are fit,
-    that is on training rows only.
+    that learns (which columns hold values, medians, scale, categories) does so when
+    the stages are fit, that is on training rows only.
     """
     leaked = set(FORBIDDEN_FEATURES) & {*numeric, *categorical, *derived}
     if leaked:
         raise ValueError(f"columns that a model must not see: {', '.join(sorted(leaked))}")
-    numbers = [*numeric, *derived]
-    as_double = ", ".join(f"CAST({c} AS DOUBLE) AS {c}_num" for c in numbers)
-    flags = "".join(f", CAST({c} IS NULL AS DOUBLE) AS {c}_flag" for c in flagged)
-    filled = [f"{c}_filled" for c in numbers]
-    return [
-        DerivedFeatures(),
-        SQLTransformer(statement=f"SELECT *, {as_double}{flags} FROM __THIS__"),
-        Imputer(strategy="median", inputCols=[f"{c}_num" for c in numbers], outputCols=filled),
-        VectorAssembler(inputCols=filled, outputCol="numbers"),
-        StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-        StringIndexer(
-            inputCols=list(categorical),
-            outputCols=[f"{c}_index" for c in categorical],
-            handleInvalid="keep",
-        ),
-        OneHotEncoder(
-            inputCols=[f"{c}_index" for c in categorical],
-            outputCols=[f"{c}_hot" for c in categorical],
-            handleInvalid="keep",
-        ),
-        VectorAssembler(
-            inputCols=["scaled", *[f"{c}_flag" for c in flagged], *[f"{c}_hot" for c in categorical]],
-            outputCol="features",
-        ),
-    ]
+    return [DerivedFeatures(), PrepareColumns(numeric=[*numeric, *derived], categorical=list(categorical))]
+
+
+def prepared(model: PipelineModel) -> PreparedColumns:
+    """The fitted preparation inside a model."""
+    return next(s for s in model.stages if isinstance(s, PreparedColumns))
+
+
+def input_types(model: PipelineModel, df: DataFrame) -> dict[str, str]:
+    """Column -> type of what the model reads from ``df``, the table it was trained on."""
+    needs = {c for name in prepared(model).decided["types"] for c in DERIVED_SQL.get(name, ((name,),))[0]}
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in needs}
 
 
 def logistic(weight: str | None = None, **params) -> LogisticRegression:
@@ -223,6 +201,7 @@ def train_model(
         feature_version=feature_version,
         metrics=metrics,
         trained_at=datetime.now(timezone.utc).replace(microsecond=0),
+        columns=input_types(model, df),
     )
     return model, meta
 

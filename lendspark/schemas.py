@@ -190,6 +190,7 @@ ARTIFACT_METADATA = T.StructType(
         T.StructField("feature_version", T.StringType(), False),
         T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
         T.StructField("trained_at", T.TimestampType(), False),
+        T.StructField("columns", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 EXPERIMENT = T.StructType(
