@@ -5,11 +5,13 @@ all lines (fewer than 4,096 of them, found by a count that combines before the s
 broadcast of their last document. The others are range-partitioned by hash and sorted by document, latest
 first, and position; one streaming pass sees the first occurrence and marks the rest. The answer is a
 run-length compressed bitmap for each document, ``keep_runs``: (start, length) of the runs of lines that
-stay. Texts meet the bitmaps once, by ``doc_id``.
+stay. Texts meet the bitmaps once, by ``doc_id`` and a hash of the text.
 
 Defined cases. NULL or empty text: one empty line, which stays (it is shorter than any key). A line of
-the last document stays however often it repeats there. Rows that repeat an id are one document. A NULL
-id: all lines stay, and the row is not counted. Other columns are carried through by ``apply_bitmaps``.
+the last document stays however often it repeats there. Rows that repeat an id are one document where
+documents are counted, and each of its texts has positions and a bitmap of its own. A NULL id: all lines
+stay, and the row is not counted. A very long text is many rows before the shuffle and one bitmap after it. An
+empty table gives no rows. Other columns, whatever their names, are carried through by ``apply_bitmaps``.
 """
 
 from __future__ import annotations
@@ -33,17 +35,23 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def text_mark(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(h1, h2, doc_id, pos) of every line whose key has at least ``min_chars`` code points."""
-    lines = keyed(docs, "text").where("doc_id IS NOT NULL").select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
-    keys = lines.where(F.length("line") >= min_chars).select("doc_id", "pos", line_key(F.col("line")).alias("key"))
+    """(h1, h2, doc_id, mark, pos) of every line whose key has at least ``min_chars`` code points."""
+    texts = keyed(docs, "text").where("doc_id IS NOT NULL").select("doc_id", text_mark(F.col("text")).alias("mark"), lines_of(F.col("text")).alias("lines"))
+    lines = texts.select("doc_id", "mark", F.posexplode("lines").alias("pos", "line"))
+    keys = lines.where(F.length("line") >= min_chars).select("doc_id", "mark", "pos", line_key(F.col("line")).alias("key"))
     return keys.where(F.length("key") >= min_chars).select(
-        F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "doc_id", "pos"
+        F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "doc_id", "mark", "pos"
     )
 
 
 def dropped_lines(lines: DataFrame, min_docs: int, hot_share: int = HOT_SHARE) -> DataFrame:
-    """(doc_id, pos) of the lines to drop."""
+    """(doc_id, mark, pos) of the lines to drop."""
     total = lines.count()
     key = ["h1", "h2"]
     named = lines.groupBy(*key).count().where(F.col("count") > max(total // hot_share, 1)).select(*key)
@@ -56,34 +64,35 @@ def dropped_lines(lines: DataFrame, min_docs: int, hot_share: int = HOT_SHARE) -
     cold = lines.join(F.broadcast(hot.select(*key)), key, "left_anti").repartitionByRange("h1")
     stream = Window.partitionBy(*key).orderBy(F.desc("doc_id"), "pos")
     first = F.coalesce((F.lag("doc_id").over(stream) != F.col("doc_id")).cast("int"), F.lit(1))  # of the hash in its document
-    seen = cold.select("doc_id", "pos", *key, first.alias("first"))
+    seen = cold.select("doc_id", "mark", "pos", *key, first.alias("first"))
     so_far = stream.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = seen.select("doc_id", "pos", *key, F.sum("first").over(so_far).alias("nth"))
-    marked = seen.select("doc_id", "pos", "nth", F.max("nth").over(Window.partitionBy(*key)).alias("n_docs"))
+    seen = seen.select("doc_id", "mark", "pos", *key, F.sum("first").over(so_far).alias("nth"))
+    marked = seen.select("doc_id", "mark", "pos", "nth", F.max("nth").over(Window.partitionBy(*key)).alias("n_docs"))
     from_cold = marked.where((F.col("nth") > 1) & (F.col("n_docs") >= min_docs))
-    return from_hot.select("doc_id", "pos").unionByName(from_cold.select("doc_id", "pos"))
+    return from_hot.select("doc_id", "mark", "pos").unionByName(from_cold.select("doc_id", "mark", "pos"))
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, hot_share: int = HOT_SHARE) -> DataFrame:
-    """(doc_id, keep_runs, n_dropped) of the documents that lose a line.
+    """(doc_id, mark, keep_runs, rest, n_dropped) of the texts that lose a line.
 
     ``keep_runs`` holds the kept runs before each run of dropped lines; after the last dropped line, ``rest`` on, all stay.
     """
     lines = stored(occurrences(docs, min_chars), "lines")
-    drops = dropped_lines(lines, min_docs, hot_share).groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("at"))
+    drops = dropped_lines(lines, min_docs, hot_share).groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     # a kept run lies between one dropped position and the next
     runs = F.expr("filter(transform(at, (p, i) -> struct(if(i = 0, 0, at[i - 1] + 1) AS start, p - if(i = 0, 0, at[i - 1] + 1) AS length)), r -> r.length > 0)")
-    return drops.select("doc_id", runs.alias("keep_runs"), (F.element_at("at", -1) + 1).alias("rest"), F.size("at").cast("long").alias("n_dropped"))
+    return drops.select("doc_id", "mark", runs.alias("keep_runs"), (F.element_at("at", -1) + 1).alias("rest"), F.size("at").cast("long").alias("n_dropped"))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """(row, dedup) for every row of ``docs``: the row as it was, and kept_text, n_lines, n_dropped."""
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), lines_of(F.col("text")).alias("lines"))
+    whole, doc_id, text = F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text")
+    rows = docs.select(whole, doc_id, text_mark(text).alias("mark"), lines_of(text).alias("lines"))
     kept = F.expr(
         """array_join(concat(flatten(transform(keep_runs, r -> slice(lines, r.start + 1, r.length))),
                              slice(lines, rest + 1, greatest(size(lines) - rest, 0))), '\n')"""
     )
-    return rows.join(bitmaps, "doc_id", "left").select(
+    return rows.join(bitmaps, ["doc_id", "mark"], "left").select(
         "row",
         F.struct(
             F.when(F.col("rest").isNull(), F.array_join("lines", "\n")).otherwise(kept).alias("kept_text"),

@@ -81,10 +81,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_line_dedup"] = r"""
-WITH lines AS (
-  SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
-),
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT row, doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM texts),
 keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -99,7 +97,7 @@ marked AS (
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY row, doc_id
 """
 
 

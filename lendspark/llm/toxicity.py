@@ -9,7 +9,10 @@ in all), shown ``EPOCHS`` times in one task. The intercept is then moved to the
 rows. Scoring is one pass over whole texts without a shuffle.
 
 Defined cases. NULL or empty text: no feature, the score of the intercept. Several labels for one id: toxic
-if any is. A NULL label or id is not learned from. No label at all, or of one kind only: every score is that kind's smoothed share.
+if any is. Several texts for one id: all are scored, the one that comes first in hash order is learned from. A NULL
+label or id is not learned from, and neither is a label without a document. Labels or labelled documents of one kind
+only, or none: every score is the labels' smoothed share. Very long texts are scored whole, in a block of their own.
+An empty table gives no rows. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -88,6 +91,8 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.unique(place[by[cuts[i] : cuts[i + 1]]])
                 rows.append((at, int(labels[start + i])))
                 order.append((int(ids[start + i]), len(at)))
+    if len({label for _, label in rows}) < 2:
+        return
     rows = [rows[i] for i in sorted(range(len(rows)), key=order.__getitem__)]  # the same fit however rows arrive
     w, bias = fit_ftrl(rows)
     at = np.flatnonzero(w)
@@ -103,13 +108,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     marked = stored(marked, "labels")
     counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     have = [counts.get(k, 0) for k in (0, 1)]
+    share = (have[1] + 0.5) / (sum(have) + 1)
+    constant = Model(np.zeros(0, np.int64), np.zeros(0), math.log(share / (1 - share)))
     if not all(have):
-        share = (have[1] + 0.5) / (sum(have) + 1)
-        return Model(np.zeros(0, np.int64), np.zeros(0), math.log(share / (1 - share)))
+        return constant
     picked = [marked.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
     chosen = F.broadcast(stored(picked[0].unionByName(picked[1]), "labelled-sample"))
-    rows = keyed(docs, "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    labelled = keyed(docs, "text").join(chosen, "doc_id")
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")
+    rows = labelled.groupBy("doc_id", "toxic").agg(first).select("doc_id", "first.text", "toxic")
     learned = rows.coalesce(1).mapInArrow(_train, "place long, weight double").collect()
+    if not learned:
+        return constant
     w = {r["place"]: r["weight"] for r in learned}
     seen = [min(n, sample) for n in have]
     bias = w.pop(-1) + math.log(have[1] / have[0]) - math.log(seen[1] / seen[0])

@@ -58,6 +58,15 @@ def test_line_dedup_on_odd_rows(odd, hot_share):
     assert sum(r.n_dropped for r in out) == 3
 
 
+@pytest.mark.parametrize("hot_share", [2, 4096])
+def test_line_dedup_of_two_texts_of_one_id(docs, hot_share):
+    line, unique = "this very line is in three documents", "a unique line that nobody else has"
+    rows = [(1, f"{line}\nfoo"), (1, f"{unique}\nbar"), (2, line), (3, line), (3, f"{line}\n{line}"), (1, f"bar\n{line}\n{unique}"), (2, line)]
+    out = line_dedup.apply_bitmaps(docs(rows), line_dedup.keep_bitmaps(docs(rows), hot_share=hot_share)).select("row.doc_id", "dedup.*").collect()
+    assert sorted((str(r.doc_id), r.kept_text, r.n_lines) for r in out) == kept_lines(rows)
+    assert f"{unique}\nbar" in {r.kept_text for r in out}
+
+
 def shingles(text, k):
     words = [w for w in "".join(c.lower() if c.isascii() else c for c in (text or "")).replace("\n", " ").replace("\t", " ").split(" ") if w]
     return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()

@@ -177,6 +177,37 @@ def test_mixing_odd_rows(spark, odd, docs):
         mixing.rates(odd, labels, {"c": 1.0})
 
 
+def test_toxicity_without_labelled_documents(spark, docs):
+    labels = spark.createDataFrame([(i, int(i < 3)) for i in range(12)], "doc_id long, toxic int")
+    learned = [i for i in range(12) if crc(i, 5)]
+    share = (sum(i < 3 for i in learned) + 0.5) / (len(learned) + 1)
+    assert toxicity.toxicity(docs([]), labels).count() == 0
+    far = toxicity.toxicity(docs([(100, "a b"), (None, None)]), labels).collect()
+    one_kind = toxicity.toxicity(docs([(7, "a b"), (8, "c d")]), labels).collect()
+    assert [r.score for r in far + one_kind] == pytest.approx([share] * 4)
+
+
+def test_toxicity_learns_from_one_text_of_an_id(spark, docs):
+    texts = [(i, f"{'vile' if i % 2 else 'kind'} word{i % 7}") for i in range(60)] + [(i, f"other text {i}") for i in range(0, 60, 3)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    a, b = (toxicity.fit(docs(x), labels) for x in (texts, texts[::-1]))
+    assert a.places.tolist() == b.places.tolist() and a.weights.tolist() == b.weights.tolist() and a.intercept == b.intercept
+
+
+def test_pipeline_stages_on_empty_tables_and_odd_columns(spark, sf, docs):
+    more = lambda df: df.withColumns({c: F.lit("clutter") for c in ("_text", "mark", "dedup", "lines", "doc", "rate", "domain")})
+    line = "this very line is in three documents"
+    ids = [r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id").collect()]
+    some = [(i, f"{line}\n{i}") for i in ids] + [(-1, None), (-2, ""), (ids[2], "another text of this document"), (None, line)]
+    for texts in ([], some):
+        before = more(docs(texts))
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = stored(stage(spark, before, sf), f"test-{name}")
+            assert after.columns == before.columns and after.where("_text <> 'clutter'").isEmpty(), name
+            before = after
+        assert corpus_pipeline.STAGES[-1][1](spark, before, sf).count() == before.count()
+
+
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     before, columns = docs, docs.columns
