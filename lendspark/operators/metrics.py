@@ -3,6 +3,9 @@
 Everything but plain averages is computed from a score table: one row per
 distinct score with its positives and negatives. Counting collapses ties before
 the shuffle, and ordered sums run over distinct scores in even parts.
+
+Every metric is over the rows that have a score (not NULL, not NaN) and a label of
+0 or 1; ``unscored`` says how many others there are.
 """
 
 from __future__ import annotations
@@ -16,10 +19,28 @@ from lendspark.operators.running import running_totals, value_edges
 from lendspark.schemas import PROBABILITY_CLIP, TARGET, THRESHOLDS
 
 
+def _has_score(p: str) -> str:
+    return f"({p} IS NOT NULL AND NOT isnan(CAST({p} AS DOUBLE)))"
+
+
+def with_score(df: DataFrame, label: str = TARGET, p: str = "p") -> DataFrame:
+    """The rows that metrics are about."""
+    return df.where(f"{_has_score(p)} AND {label} IN (0, 1)")
+
+
+def unscored(df: DataFrame, label: str = TARGET, p: str = "p", by: Sequence[str] = ()) -> DataFrame:
+    """Rows in all, without a score, and with a score but no label of 0 or 1; per group if asked."""
+    return df.groupBy(*by).agg(
+        F.expr("count(1) AS n"),
+        F.expr(f"count_if(NOT {_has_score(p)}) AS n_without_score"),
+        F.expr(f"count_if({_has_score(p)} AND NOT coalesce({label} IN (0, 1), false)) AS n_without_label"),
+    )
+
+
 def score_table(
     df: DataFrame, label: str = TARGET, p: str = "p", by: Sequence[str] = ()
 ) -> DataFrame:
-    return df.groupBy(*by, F.col(p).alias("score")).agg(
+    return with_score(df, label, p).groupBy(*by, F.col(p).alias("score")).agg(
         F.expr(f"count_if({label} = 1) AS pos"), F.expr(f"count_if({label} = 0) AS neg")
     )
 
@@ -109,7 +130,7 @@ def calibration_curve(
 ) -> DataFrame:
     """Mean probability and observed rate per equal-width bin."""
     slot = F.expr(f"CAST(least(floor({p} * {float(bins)}D), {bins - 1}) AS INT) AS bin")
-    return df.groupBy(*by, slot).agg(
+    return with_score(df, label, p).groupBy(*by, slot).agg(
         F.expr(f"avg({p}) AS mean_p"),
         F.expr(f"avg(CAST({label} AS DOUBLE)) AS observed"),
         F.expr("count(1) AS n"),
@@ -118,7 +139,7 @@ def calibration_curve(
 
 def confusion(df, label: str = TARGET, p: str = "p", threshold: float = 0.5) -> DataFrame:
     predicted = (F.col(p) >= threshold).cast("int").alias("predicted")
-    return df.groupBy(F.col(label), predicted).agg(F.count(F.lit(1)).alias("n"))
+    return with_score(df, label, p).groupBy(F.col(label), predicted).agg(F.count(F.lit(1)).alias("n"))
 
 
 def threshold_sweep(
@@ -128,7 +149,7 @@ def threshold_sweep(
     thresholds: Sequence[float] = THRESHOLDS,
 ) -> DataFrame:
     """Precision, recall and F1 per threshold: one pass, no copy of the rows per threshold."""
-    wide = df.agg(
+    wide = with_score(df, label, p).agg(
         F.expr(f"count_if({label} = 1) AS pos"),
         *[
             F.expr(f"count_if({p} >= {float(t)}D AND {label} = 1) AS tp{i}")

@@ -49,15 +49,39 @@ def null_profile(df: DataFrame) -> DataFrame:
     return _long(wide, {c: {"n_null": c, "pct_null": share.format(c=c)} for c in cols})
 
 
+def _repeats(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose 128-bit fingerprint is alone, the others). Only fingerprints are shuffled to find out."""
+    marks = {"_h1": F.xxhash64(*df.columns), "_h2": F.xxhash64(F.lit("second"), *df.columns)}
+    marked = df.withColumns(marks)
+    often = df.select(*[c.alias(n) for n, c in marks.items()]).groupBy(*marks).count().where("count > 1").select(*marks)
+    return tuple(marked.join(often, list(marks), how).select(*df.columns) for how in ("left_anti", "left_semi"))
+
+
 def duplicates(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of equal rows, and how many such sets there are."""
-    sets = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    """Rows beyond the first of each set of equal rows, and how many such sets there are.
+
+    Whole rows are compared only where fingerprints repeat, so a collision changes nothing.
+    """
+    sets = _repeats(df)[1].groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     return sets.agg(
         F.count(F.when(F.col("_copies") > 1, 1)).alias("n_sets"),
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("n_duplicates"),
     )
 
 
+def without_duplicates(df: DataFrame) -> DataFrame:
+    """One of each set of rows that are equal in every column; only repeated rows are shuffled whole."""
+    alone, repeated = _repeats(df)
+    return alone.unionByName(repeated.distinct())
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
+    """For each key the row that comes last by ``newest``; of rows equal in it, the greatest by all other columns."""
+    others = [c for c in df.columns if c not in {*keys, *newest}]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*newest, *others)).alias("_best"))
+    return best.select(*keys, "_best.*").select(*df.columns)
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct non-NULL values per column.
 

@@ -47,7 +47,7 @@ def customer_loans(spark, sf_dir):
 @query(f"""
 WITH {APP}, newest AS (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY application_ts DESC, application_id DESC) AS rn
-  FROM app WHERE customer_id % 4 <> 0)
+  FROM app)
 SELECT c_custkey AS customer_id, customer_id IS NOT NULL AS has_history,
   coalesce(CAST(credit_history_years AS INTEGER), -1) AS credit_history_years,
   coalesce(late_payments, -1) AS late_payments
@@ -55,7 +55,7 @@ FROM customer LEFT JOIN newest ON customer_id = c_custkey AND rn = 1
 """)
 def customer_history_left(spark, sf_dir):
     """Every customer with the credit history, if there is one."""
-    known = applications(spark, sf_dir).where(F.col("customer_id") % 4 != 0)
+    known = applications(spark, sf_dir)
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
     joined = rel.join_parent(
         customers, rel.normalise_credit_histories(known), "customer_id", "customer_id", "left"
@@ -184,11 +184,11 @@ def outcomes_join(spark, sf_dir):
 WITH {BASE}
 SELECT CAST(floor(loan_amount / 50000) AS BIGINT) AS bin,
   count(*) FILTER (WHERE application_ts < TIMESTAMP '1998-01-01') AS n_reference,
-  count(*) FILTER (WHERE application_ts >= TIMESTAMP '1998-01-01' AND loan_amount >= 100000) AS n_current
-FROM base WHERE application_ts < TIMESTAMP '1998-01-01' OR loan_amount >= 100000 GROUP BY 1
+  count(*) FILTER (WHERE application_ts >= TIMESTAMP '1998-01-01') AS n_current
+FROM base GROUP BY 1
 """)
 def bin_full_outer(spark, sf_dir):
-    """Two periods' bin counts side by side; some bins occur in one period only."""
+    """Two periods' bin counts side by side; a bin may occur in one period only."""
     a = applications(spark, sf_dir, history=False)
     cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -196,7 +196,7 @@ def bin_full_outer(spark, sf_dir):
         return rows.groupBy(F.floor(F.col("loan_amount") / 50000.0).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
     before = a.where(F.col("application_ts") < cut)
-    after = a.where((F.col("application_ts") >= cut) & (F.col("loan_amount") >= 100000))
+    after = a.where(F.col("application_ts") >= cut)
     return join_bin_counts(counts(before), counts(after))
 
 

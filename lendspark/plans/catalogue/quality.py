@@ -32,13 +32,48 @@ def null_profile(spark, sf_dir):
     return prof.null_profile(applications(spark, sf_dir, history=False))
 
 
-@query("""
-SELECT count(*) FILTER (WHERE n > 1) AS n_sets, CAST(sum(n - 1) AS BIGINT) AS n_duplicates
-FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber, l_returnflag)
+#: lineitem with some rows twice and some three times.
+_COPIED = """
+copied AS (
+  SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 7 = 3
+  UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 21 = 3
+)"""
+
+
+def _copied(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return rows.unionByName(rows.where("l_orderkey % 7 = 3")).unionByName(rows.where("l_orderkey % 21 = 3"))
+
+
+@query(f"""
+WITH {_COPIED}
+SELECT count(*) FILTER (WHERE n > 1) AS n_sets, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates
+FROM (SELECT *, count(*) AS n FROM copied GROUP BY ALL)
 """)
 def duplicates(spark, sf_dir):
-    """Repeated rows among the key columns of lineitem, which are not unique."""
-    return prof.duplicates(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
+    """Rows of lineitem that repeat in every column; copies are added, since the table has none."""
+    return prof.duplicates(_copied(spark, sf_dir))
+
+
+@query(f"""
+WITH {_COPIED}
+SELECT l_returnflag, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price
+FROM (SELECT DISTINCT * FROM copied) GROUP BY l_returnflag
+""")
+def without_duplicates(spark, sf_dir):
+    """The same table with one of each set of equal rows."""
+    price = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("price")
+    return prof.without_duplicates(_copied(spark, sf_dir)).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), price)
+
+
+@query("""
+SELECT o_custkey, o_orderkey, o_totalprice FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+""")
+def one_per_key(spark, sf_dir):
+    """The newest order of each customer."""
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    return prof.one_per_key(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
 @query(f"WITH {BASE} " + " UNION ALL ".join(

@@ -20,6 +20,7 @@ from lendspark.plans.catalogue.base import (
     metadata,
     predictions,
     query,
+    scored,
     table,
 )
 from lendspark.plans.catalogue.common import EXPLAINED, explained
@@ -179,20 +180,34 @@ def decimal_fit(spark, sf_dir):
     return val.row_violations(a, "application_id", rules).select("application_id", "field")
 
 
+#: Columns of both tables with their limits; each value is made longer by the row's key modulo 1.25 times the limit.
+_LIMITED = [(t, c, n, n + n // 4) for t, limits in LENGTH_LIMITS.items() for c, n in limits.items()]
+_KEY = {"models": "part", "predictions": "application_id"}
+
+
 @query(f"""
-WITH {METADATA}
-SELECT part, 'name' AS field FROM metadata WHERE length(name) + part % 200 > 128
-UNION ALL SELECT part, 'version' FROM metadata WHERE length(version) + part % 40 > 32
-""")
+WITH {SCORED}, {METADATA},
+models AS (SELECT *, 'models/' || name AS artifact_path FROM metadata),
+predictions AS (SELECT application_id, CAST(application_id AS VARCHAR) AS request_id, '1.0.0' AS prediction_version FROM scored)
+""" + " UNION ALL ".join(
+    f"SELECT {_KEY[t]} AS id, '{t}.{c}' AS field FROM {t} WHERE length({c}) + {_KEY[t]} % {m} > {n}" for t, c, n, m in _LIMITED
+))
 def length_limits(spark, sf_dir):
-    m = metadata(spark, sf_dir)
-    rows = m.select(
-        "part",
-        F.concat("name", F.repeat(F.lit("x"), (F.col("part") % 200).cast("int"))).alias("name"),
-        F.concat("version", F.repeat(F.lit("0"), (F.col("part") % 40).cast("int"))).alias("version"),
-    )
-    rules = [val.length_rule(c, LENGTH_LIMITS["models"][c]) for c in ("name", "version")]
-    return val.row_violations(rows, "part", rules).select("part", "field")
+    """Every declared limit: text that is too long for its column, per row."""
+    models = metadata(spark, sf_dir).withColumnRenamed("dataset_version", "training_dataset")
+    key = F.col("application_id")
+    tables = {
+        "models": models.withColumn("artifact_path", F.concat(F.lit("models/"), "name")),
+        "predictions": scored(spark, sf_dir).select(key, key.cast("string").alias("request_id"), F.lit("1.0.0").alias("prediction_version")),
+    }
+    out = None
+    for t, rows in tables.items():
+        longer = {c: F.concat(c, F.repeat(F.lit("x"), (F.col(_KEY[t]) % m).cast("int"))) for u, c, _, m in _LIMITED if u == t}
+        rules = [val.length_rule(c, n) for u, c, n, _ in _LIMITED if u == t]
+        found = val.row_violations(rows.withColumns(longer), _KEY[t], rules)
+        found = found.select(F.col(_KEY[t]).alias("id"), F.concat(F.lit(f"{t}."), "field").alias("field"))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 _CHECKED = ("age", "income", "employment_years", "interest_rate", "loan_amount", "term_months")
