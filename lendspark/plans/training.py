@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.functions.features import DERIVED, DERIVED_SQL, DerivedFeatures
-from lendspark.operators.metrics import evaluation_report
+from lendspark.operators.metrics import evaluation_report, roc_auc
 from lendspark.operators.profile import add_class_weight
 from lendspark.operators.registry import ArtifactMetadata
 from lendspark.operators.running import order_statistics
 from lendspark.plans.prepare import PrepareColumns, PreparedColumns
 from lendspark.plans.scoring import model_score
 from lendspark.schemas import FORBIDDEN_FEATURES, SEED, TARGET
+from lendspark.session import scratch_path
 
 NUMERIC = (
     "age",
@@ -222,38 +224,73 @@ def draw_candidates(space: dict[str, Sequence], trials: int, seed: int = SEED) -
     return out
 
 
+#: Rows that one task of a fit holds; a fit over fewer partitions has shorter jobs for each level of each tree.
+ROWS_PER_TASK = 50_000
+
+
+def _fold_matrices(df: DataFrame, fold: str) -> dict[object, tuple[DataFrame, DataFrame]]:
+    """Fold -> (rows to fit on, held-out rows) as stored feature vectors; preparation is fitted once a fold, on the other folds."""
+    spark, out = df.sparkSession, {}
+    for k in sorted(r[0] for r in df.select(fold).where(F.col(fold).isNotNull()).distinct().collect()):
+        prepare = Pipeline(stages=preprocessing()).fit(df.where(F.col(fold) != k))
+        path = scratch_path(spark, "search-fold")
+        columns = ["features", TARGET, (F.col(fold) == k).alias("held_out")]
+        prepare.transform(df.where(F.col(fold).isNotNull())).select(*columns).write.parquet(path)
+        matrix = spark.read.parquet(path)
+        tasks = -(-matrix.count() // ROWS_PER_TASK)
+        out[k] = tuple(matrix.where(rows).coalesce(max(1, tasks)) for rows in ("NOT held_out", "held_out"))
+    return out
+
+
 def search(
     df: DataFrame,
     fold: str = "fold",
     trials: int = 10,
     space: dict[str, Sequence] | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
     seed: int = SEED,
     fixed: dict | None = None,
-) -> CrossValidatorModel:
-    """Cross-validated random search over boosted trees, chosen by ROC-AUC.
-
-    Preprocessing is inside the validated stages, so no fold sees another fold's
-    medians or scale. Folds come from ``stratified_folds``.
+    keep: float = 1.0,
+) -> DataFrame:
+    """Cross-validated random search over boosted trees: (candidate, parameters, folds, and the mean of each metric).
+
+    Candidates are fitted on each fold's feature vectors, which are stored once; no fold sees another fold's
+    medians, scale or categories. Held-out scores are stored, and one report over all of them gives the metrics.
+    After each fold the best share ``keep`` of the candidates still in the race, by mean ROC-AUC so far, goes on to
+    the next (two at least); 1.0 takes every candidate through every fold, and ``folds`` says how many each had.
+    ``best_candidate`` picks by ROC-AUC. Folds come from ``stratified_folds``.
     """
-    estimator = boosted(**(fixed or {}))
-    maps = []
-    for pick in draw_candidates(space or SEARCH_SPACE, trials, seed):
-        values = {}
-        for k, v in pick.items():
-            v = _subset(v) if k == "colsample_bytree" else v
-            values[estimator.getParam(BOOSTED_PARAMS[k])] = v
-        maps.append(values)
-    validator = CrossValidator(
-        estimator=Pipeline(stages=[*preprocessing(), estimator]),
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(labelCol=TARGET, metricName="areaUnderROC"),
-        numFolds=df.agg(F.count_distinct(fold)).first()[0],
-        foldCol=fold,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    return validator.fit(df)
+    spark = df.sparkSession
+    picks = [{**(fixed or {}), **pick} for pick in draw_candidates(space or SEARCH_SPACE, trials, seed)]
+    scores = scratch_path(spark, "search-scores")
+
+    def run(candidate: int, k, fit_on: DataFrame, held_out: DataFrame) -> None:
+        model = boosted(**picks[candidate]).fit(fit_on)
+        p = F.get(vector_to_array("probability"), F.lit(1)).alias("p")
+        model.transform(held_out).select(TARGET, p).write.parquet(f"{scores}/candidate={candidate}/fold={k}")
+
+    schema = f"{TARGET} int, p double, candidate int, fold string"
+    alive = list(range(len(picks)))
+    with ThreadPoolExecutor(parallelism) as pool:
+        for k, parts in _fold_matrices(df, fold).items():
+            for done in [pool.submit(run, i, k, *parts) for i in alive]:
+                done.result()
+            if keep < 1:
+                so_far = roc_auc(spark.read.schema(schema).parquet(scores), by=["candidate", "fold"])
+                order = {r[0]: r[1] or 0.0 for r in so_far.groupBy("candidate").agg(F.avg("roc_auc")).collect()}
+                alive = sorted(alive, key=lambda i: (-order[i], i))[: max(2, math.ceil(keep * len(alive)))]
+    metrics = ("roc_auc", "pr_auc", "f1", "precision", "recall", "log_loss", "brier_score")
+    report = evaluation_report(spark.read.schema(schema).parquet(scores), by=["candidate", "fold"])
+    means = report.groupBy("candidate").agg(F.count("roc_auc").cast("int").alias("folds"), *[F.avg(m).alias(m) for m in metrics])
+    rows = [(i, {k: float(v) for k, v in {**BOOSTED_START, **pick}.items()}) for i, pick in enumerate(picks)]
+    return spark.createDataFrame(rows, "candidate int, parameters map<string,double>").join(F.broadcast(means), "candidate", "left")
+
+
+def best_candidate(found: DataFrame, metric: str = "roc_auc") -> dict[str, float]:
+    """Parameters of the candidate with the best mean metric among those with the most folds; the first of equals."""
+    most = found.agg(F.max("folds")).first()[0]
+    best = found.where((F.col("folds") == most) & F.col(metric).isNotNull()).agg(F.max_by("parameters", F.struct(metric, -F.col("candidate"))))
+    return best.first()[0]
 
 
 def comparison(models: dict[str, PipelineModel], holdout: DataFrame) -> DataFrame:

@@ -1,5 +1,3 @@
-from types import SimpleNamespace
-
 import pytest
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
@@ -79,14 +77,11 @@ def test_registered_fits_use_the_declared_parameters(spark, sf, model, monkeypat
     seen, searched = [], {}
     monkeypatch.setattr(tr, "train", lambda df, est, weighted=False: seen.append((est, weighted)) or model)
 
-    class Validator:
-        def __init__(self, **kwargs):
-            searched.update(kwargs)
-
-        def fit(self, df):
-            return SimpleNamespace(avgMetrics=[0.5] * len(searched["estimatorParamMaps"]))
+    def found(df, **given):
+        searched.update(given)
+        return df.sparkSession.createDataFrame([(0, {"max_depth": 3.0}, 0.5)], "candidate int, parameters map<string,double>, roc_auc double")
 
-    monkeypatch.setattr(tr, "CrossValidator", Validator)
+    monkeypatch.setattr(tr, "search", found)
     for name in ("fit_boosted", "fit_forest", "baseline_table"):
         QUERIES[name](spark, sf)
     boosted = [(e, w) for e, w in seen if isinstance(e, GBTClassifier)]
@@ -96,9 +91,8 @@ def test_registered_fits_use_the_declared_parameters(spark, sf, model, monkeypat
     forests = [e for e, _ in seen if isinstance(e, RandomForestClassifier)]
     plain = tr.forest()
     assert [(e.getNumTrees(), e.getMaxDepth()) for e in forests] == [(plain.getNumTrees(), plain.getMaxDepth())] * 2
-    assert QUERIES["search"](spark, sf).count() == 10
-    varied = {p.name for m in searched["estimatorParamMaps"] for p in m}
-    assert varied == {tr.BOOSTED_PARAMS[k] for k in tr.SEARCH_SPACE} and len(varied) == 7
+    assert QUERIES["search"](spark, sf).count() == 1 and searched == {"keep": 0.5}
+    assert set(tr.BOOSTED_PARAMS) == set(tr.SEARCH_SPACE) and len(tr.SEARCH_SPACE) == 7
 
 
 def test_candidates_repeat_with_the_seed():
@@ -117,10 +111,25 @@ def test_calibration_does_not_hurt_on_its_own_rows(model, rows):
 
 
 def test_search(rows):
-    found = tr.search(
-        rows.where("split = 'train'").withColumn("fold", F.col("fold") % 2), trials=2,
-        space={"max_depth": (1, 2)}, fixed={"n_estimators": 2}, parallelism=2)
-    assert len(found.avgMetrics) == 2 and all(0 < m < 1 for m in found.avgMetrics)
+    part = rows.where("split = 'train'").withColumn("fold", F.col("fold") % 2)
+    found = tr.search(part, trials=2, space={"max_depth": (1, 2)}, fixed={"n_estimators": 2}, parallelism=2).cache()
+    got = found.collect()
+    assert sorted(r.parameters["max_depth"] for r in got) == [1.0, 2.0] and {r.parameters["n_estimators"] for r in got} == {2.0}
+    assert all(r.folds == 2 and 0 < r.roc_auc < 1 and 0 < r.pr_auc < 1 and r.log_loss > 0 and 0 < r.brier_score < 1 for r in got)
+    assert tr.best_candidate(found) == max(got, key=lambda r: (r.roc_auc, -r.candidate)).parameters
+    by_hand = []
+    for k in (0, 1):
+        model = tr.train(part.where(F.col("fold") != k), tr.boosted(n_estimators=2, max_depth=2))
+        by_hand.append(tr.evaluate(model, part.where(F.col("fold") == k)).first())
+    two = next(r for r in got if r.parameters["max_depth"] == 2.0)
+    assert two.roc_auc == pytest.approx(sum(r["roc_auc"] for r in by_hand) / 2, abs=0.03)
+
+
+def test_search_as_a_race(rows):
+    part = rows.where("split = 'train'").withColumn("fold", F.col("fold") % 3)
+    found = tr.search(part, trials=4, space={"max_depth": (1, 2, 3, 4)}, fixed={"n_estimators": 1}, keep=0.5).cache()
+    assert sorted(r.folds for r in found.collect()) == [1, 1, 3, 3]
+    assert tr.best_candidate(found) in [r.parameters for r in found.collect() if r.folds == 3]
 
 
 def test_comparison(model, rows):
