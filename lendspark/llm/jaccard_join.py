@@ -3,8 +3,8 @@
 A document is its set of distinct k-word shingles (64-bit hashes). Two sets with Jaccard similarity of at
 least t must share a token among the first ``n - ceil(t n) + 1`` of each, in *any* order of the tokens that
 is the same for all documents. Here an order is: class of the token's corpus frequency (rare first), then a
-seeded hash; each seed gives another order. The frequency class comes from a count-min table of fixed size
-over all documents. Any error in it changes the speed only.
+seeded hash; each seed gives another order. The frequency class comes from counters over all documents, about
+one for each ``BYTES_A_COUNTER`` bytes of text. Any error in it changes the speed only.
 
 1. Equal sets become one representative (grouped minimum, combined before the shuffle).
 2. Order 1: the prefixes of the representatives are exploded, tokens that occur once are left out.
@@ -35,55 +35,83 @@ from lendspark.llm.components import components
 from lendspark.llm.frames import keyed, stored, text_bytes
 from lendspark.llm.words import blocks, distinct_by_text, mix, shingle_hashes, word_hashes
 
-#: Count-min table: two rows of 2**WIDTH counters, however large the corpus; it is broadcast as 8 MB of classes.
-WIDTH = 22
+#: Text bytes for each counter of token frequencies: a few tokens share one, at every size of the corpus ...
+BYTES_A_COUNTER = 16
+#: ... up to 2**26 counters (a broadcast of 64 MB, reached by 1 GB of text). Beyond it more tokens share a counter.
+WIDEST = 26
 SLICES = 64
-#: A filter of 2**BLOOM bits (8 MB) keeps tokens of one document out of the shuffle; what it lets through is joined exactly.
-BLOOM = 26
-#: Up to so many candidate pairs (16 bytes each) are broadcast to meet their texts; more are joined with a shuffle.
-BROADCAST_PAIRS = 500_000
+#: Tokens that a task sorts and counts at once.
+TOKENS_AT_ONCE = 1 << 22
+#: Bits for each shared token in the filter that keeps tokens of one document out of the shuffle, up to 2**29 bits
+#: (64 MB). What it lets through is joined exactly.
+BITS_A_TOKEN = 32
+WIDEST_FILTER = 29
 ORDERS = (101, 202, 303)
 
 
-def _cells(tokens: np.ndarray, row: int) -> np.ndarray:
-    return (mix(tokens, 7 + row) >> np.uint64(64 - WIDTH)).astype(np.int64)
+def _width(wanted: int, least: int, most: int) -> int:
+    """The exponent of the smallest power of two that is at least ``wanted``, between the bounds."""
+    return min(max(int(wanted - 1).bit_length(), least), most)
 
 
-def _count(k: int):
+def _cells(tokens: np.ndarray, width: int) -> np.ndarray:
+    return (mix(tokens, 7) >> np.uint64(64 - width)).astype(np.uint32)
+
+
+def _counted(cells: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    """The cells in use and their counts (up to 65,535), a row for each slice of the table."""
+    used, n = np.unique(cells, return_counts=True)
+    n = np.minimum(n, 0xFFFF).astype(np.uint16)
+    cuts = np.searchsorted(used, np.arange(SLICES + 1, dtype=np.uint64) << np.uint64(width - SLICES.bit_length() + 1))
+    for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if a < b:
+            steps = np.diff(used[a:b], prepend=np.uint32(0))
+            by_place = [np.ascontiguousarray(x.view(np.uint8).reshape(b - a, -1).T).tobytes() for x in (steps, n[a:b])]  # the upper bytes are mostly 0
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "counts": [zstandard.compress(b"".join(by_place), 1)]})
+
+
+def _count(k: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((2, 1 << WIDTH), dtype=np.uint32)
+        held, size = [], 0
         for batch in batches:
             for _, texts in blocks(text_bytes(batch.column("text"))):
                 tokens, _ = shingle_hashes(*word_hashes(texts), k)
-                for row in (0, 1):
-                    np.add.at(table[row], _cells(tokens, row), 1)
-        if table.any():
-            for i, part in enumerate(table.reshape(2 * SLICES, -1)):
-                bytes_by_place = np.ascontiguousarray(part.view(np.uint8).reshape(-1, 4).T)  # the upper ones are mostly 0
-                yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "counts": [zstandard.compress(bytes_by_place.tobytes(), 1)]})
+                held.append(_cells(tokens, width))
+                size += len(tokens)
+                if size >= TOKENS_AT_ONCE:
+                    yield from _counted(np.concatenate(held), width)
+                    held, size = [], 0
+        if size:
+            yield from _counted(np.concatenate(held), width)
 
     return run
 
 
-def _add(key, frame):
-    import pandas as pd
+def _add(width: int):
+    def run(key, frame):
+        import pandas as pd
+
+        size = (1 << width) // SLICES
+        total = np.zeros(size, dtype=np.uint64)
+        for packed in frame["counts"]:
+            raw = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(6, -1)
+            steps, n = (np.ascontiguousarray(x.T).view(t).reshape(-1) for x, t in ((raw[:4], np.uint32), (raw[4:], np.uint16)))
+            total[np.cumsum(steps, dtype=np.int64) - int(key[0]) * size] += n
+        classes = np.floor(np.log2(np.maximum(total, 1))).astype(np.uint8)
+        return pd.DataFrame({"slice": [key[0]], "classes": [zstandard.compress(classes.tobytes(), 1)]})
 
-    total = np.zeros((1 << WIDTH) * 2 // (2 * SLICES), dtype=np.uint64)
-    for counts in frame["counts"]:
-        by_place = np.frombuffer(zstandard.decompress(counts), np.uint8).reshape(4, -1)
-        total += np.ascontiguousarray(by_place.T).view(np.uint32).reshape(-1)
-    classes = np.floor(np.log2(np.maximum(total, 1))).astype(np.uint8)
-    return pd.DataFrame({"slice": [key[0]], "classes": [classes.tobytes()]})
+    return run
 
 
 def frequency_classes(docs: DataFrame, k: int):
-    """Broadcast table of log2 of the token counts, 8 MB at any corpus size."""
-    sums = docs.select("text").mapInArrow(_count(k), "slice int, counts binary").groupBy("slice")
-    rows = sums.applyInPandas(_add, "slice int, classes binary").collect()
-    table = np.zeros((2 * SLICES, (1 << WIDTH) // SLICES), dtype=np.uint8)
-    for r in rows:
-        table[r["slice"]] = np.frombuffer(r["classes"], dtype=np.uint8)
-    return docs.sparkSession.sparkContext.broadcast(table.reshape(2, -1))
+    """Broadcast table of log2 of the token counts, sized by the text, 64 MB at most."""
+    text_size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    width = _width(text_size // BYTES_A_COUNTER, 16, WIDEST)
+    sums = docs.select("text").mapInArrow(_count(k, width), "slice int, counts binary").groupBy("slice")
+    table = np.zeros((SLICES, (1 << width) // SLICES), dtype=np.uint8)
+    for r in sums.applyInPandas(_add(width), "slice int, classes binary").collect():
+        table[r["slice"]] = np.frombuffer(zstandard.decompress(r["classes"]), dtype=np.uint8)
+    return docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -92,7 +120,7 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 def _ranked(tokens: np.ndarray, bounds: np.ndarray, classes: np.ndarray, percent: int, seed: int) -> list[np.ndarray]:
     """The prefix of each set in the order of the seed."""
-    rank = np.minimum(classes[0][_cells(tokens, 0)], classes[1][_cells(tokens, 1)]).astype(np.uint64)
+    rank = classes[_cells(tokens, len(classes).bit_length() - 1)].astype(np.uint64)
     order_key = (rank << np.uint64(58)) | (mix(tokens, seed) >> np.uint64(6))
     n = np.diff(bounds)
     owner = np.repeat(np.arange(len(n)), n)
@@ -158,7 +186,7 @@ def _repeated(table):
             lists = batch.column("prefix")
             tokens = lists.flatten().to_numpy().view(np.uint64)
             sizes = np.diff(lists.offsets.to_numpy())
-            place = (mix(tokens, 99) >> np.uint64(64 - BLOOM)).astype(np.int64)
+            place = (mix(tokens, 99) >> np.uint64(64 - len(bits).bit_length() - 2)).astype(np.int64)
             hit = np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
             owner = np.repeat(np.arange(len(sizes)), sizes)[hit]
             pos = hit - (np.cumsum(sizes) - sizes)[owner]
@@ -170,23 +198,29 @@ def _repeated(table):
     return run
 
 
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = np.zeros(1 << (BLOOM - 3), dtype=np.uint8)
-    for batch in batches:
-        place = (mix(batch.column("token").to_numpy().view(np.uint64), 99) >> np.uint64(64 - BLOOM)).astype(np.int64)
-        np.bitwise_or.at(table, place >> 3, (1 << (place & 7)).astype(np.uint8))
-    for i, part in enumerate(table.reshape(SLICES, -1)):
-        if part.any():
-            yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "counts": [zstandard.compress(part.tobytes(), 1)]})
+def _bits(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << (width - 3), dtype=np.uint8)
+        for batch in batches:
+            place = (mix(batch.column("token").to_numpy().view(np.uint64), 99) >> np.uint64(64 - width)).astype(np.int64)
+            np.bitwise_or.at(table, place >> 3, (1 << (place & 7)).astype(np.uint8))
+        for i, part in enumerate(table.reshape(SLICES, -1)):
+            if part.any():
+                yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "counts": [zstandard.compress(part.tobytes(), 1)]})
+
+    return run
+
 
+def _any(width: int):
+    def run(key, frame):
+        import pandas as pd
 
-def _any(key, frame):
-    import pandas as pd
+        total = np.zeros((1 << (width - 3)) // SLICES, dtype=np.uint8)
+        for part in frame["counts"]:
+            total |= np.frombuffer(zstandard.decompress(part), np.uint8)
+        return pd.DataFrame({"slice": [key[0]], "classes": [total.tobytes()]})
 
-    total = np.zeros((1 << (BLOOM - 3)) // SLICES, dtype=np.uint8)
-    for part in frame["counts"]:
-        total |= np.frombuffer(zstandard.decompress(part), np.uint8)
-    return pd.DataFrame({"slice": [key[0]], "classes": [total.tobytes()]})
+    return run
 
 
 class JaccardJoin:
@@ -216,8 +250,7 @@ class JaccardJoin:
         """The pairs (a, b) that share prefix tokens under the other orders and are similar; ``a`` is the side with fewer ids."""
         ends = pairs.select("a", "b").unionByName(pairs.select("a", F.col("a").alias("b")).distinct())
         ends = stored(ends.groupBy("b").agg(F.collect_set("a").alias("partners")), "candidate-ends")
-        few = pairs.count() <= BROADCAST_PAIRS
-        texts = self.docs.join(F.broadcast(ends) if few else ends, F.col("doc_id") == F.col("b")).select("doc_id", "text", "partners")
+        texts = self.docs.join(ends, F.col("doc_id") == F.col("b")).select("doc_id", "text", "partners")
         sets = texts.mapInArrow(
             _whole_sets(self.k, self.percent, self.classes), "a long, b long, p2 array<long>, p3 array<long>, tokens array<long>"
         )
@@ -232,8 +265,10 @@ class JaccardJoin:
         first = self.rows.join(self.equal, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id", "n", "s1", "s2"])
         first = stored(first.select("doc_id", "n", "prefix"), "prefixes")
         tokens = stored(first.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared-tokens")
-        table = np.zeros((SLICES, (1 << (BLOOM - 3)) // SLICES), dtype=np.uint8)
-        for r in tokens.mapInArrow(_bits, "slice int, counts binary").groupBy("slice").applyInPandas(_any, "slice int, classes binary").collect():
+        width = _width(tokens.count() * BITS_A_TOKEN, 16, WIDEST_FILTER)
+        table = np.zeros((SLICES, (1 << (width - 3)) // SLICES), dtype=np.uint8)
+        marks = tokens.mapInArrow(_bits(width), "slice int, counts binary").groupBy("slice")
+        for r in marks.applyInPandas(_any(width), "slice int, classes binary").collect():
             table[r["slice"]] = np.frombuffer(r["classes"], dtype=np.uint8)
         bits = self.docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
         posts = first.mapInArrow(_repeated(bits), "id long, n int, pos int, token long").join(tokens, "token", "left_semi")
