@@ -34,7 +34,8 @@ from lendspark.session import scratch_path
 
 #: ids in a block, but a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
-_ODD = re.compile(r"[\x1c-\x1f]")
+#: Anything else than the characters whose classes the pattern knows.
+_ODD = re.compile(f"[^\x00-\x1b\x20-{chr(LATIN - 1)}]")
 
 
 class ByteTokenizer:
@@ -62,7 +63,7 @@ class ByteTokenizer:
             return b""
         if any(s in text for s in self.special):
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        if max(text) < chr(LATIN) and not _ODD.search(text):
+        if not _ODD.search(text):
             return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
         return b"".join([self._visible_piece(p) for p, _ in self.library.pre_tokenizer.pre_tokenize_str(text)])
 
@@ -96,13 +97,24 @@ def _unpacked(packed: bytes) -> np.ndarray:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, dtype=np.int64)
+    total, held, size = np.zeros(0, dtype=np.int64), [], 0
+
+    def add() -> None:
+        nonlocal total, held, size
+        c = np.bincount(np.concatenate(held))
+        if len(c) > len(total):
+            total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
+        total[: len(c)] += c
+        held, size = [], 0
+
     for batch in batches:
         for packed in batch.column("packed").to_pylist():
-            c = np.bincount(_unpacked(packed))
-            if len(c) > len(total):
-                total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
-            total[: len(c)] += c
+            held.append(_unpacked(packed))
+            size += len(held[-1])
+            if size > BLOCK_IDS:
+                add()
+    if held:
+        add()
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 

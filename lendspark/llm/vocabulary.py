@@ -8,8 +8,10 @@ import unicodedata
 
 from tokenizers import Tokenizer
 
-#: Distinct pieces that a worker remembers; beyond it, it starts anew.
+#: Distinct pieces that a worker remembers at most.
 REMEMBERED = 500_000
+#: Longer pieces are not remembered, so that a cache of strings has a bound in bytes too.
+LONGEST_REMEMBERED = 64
 #: Up to this code point letters and digits are the same in every Unicode version.
 LATIN = 0x180
 
@@ -44,14 +46,19 @@ def latin_class(kind: str) -> str:
 
 
 class Remembered(dict):
-    """A bounded cache over a function of a string."""
+    """A bounded cache over a function of a string; what was used lately stays when it is full."""
 
     def __init__(self, fn):
         super().__init__()
-        self.fn = fn
+        self.fn, self.earlier = fn, {}
 
     def __missing__(self, key):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[key] = self.fn(key)
+        value = self.earlier.pop(key, None)
+        if value is None:
+            value = self.fn(key)
+        if len(key) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.earlier = dict(self)
+                self.clear()
+            self[key] = value
         return value
