@@ -46,6 +46,8 @@ TOKENS_AT_ONCE = 1 << 22
 #: (64 MB). What it lets through is joined exactly.
 BITS_A_TOKEN = 32
 WIDEST_FILTER = 29
+#: Up to so many candidate pairs (16 bytes each) are broadcast to meet their texts; more are joined with a shuffle of the texts.
+BROADCAST_PAIRS = 500_000
 ORDERS = (101, 202, 303)
 
 
@@ -250,7 +252,8 @@ class JaccardJoin:
         """The pairs (a, b) that share prefix tokens under the other orders and are similar; ``a`` is the side with fewer ids."""
         ends = pairs.select("a", "b").unionByName(pairs.select("a", F.col("a").alias("b")).distinct())
         ends = stored(ends.groupBy("b").agg(F.collect_set("a").alias("partners")), "candidate-ends")
-        texts = self.docs.join(ends, F.col("doc_id") == F.col("b")).select("doc_id", "text", "partners")
+        few = pairs.count() <= BROADCAST_PAIRS
+        texts = self.docs.join(F.broadcast(ends) if few else ends, F.col("doc_id") == F.col("b")).select("doc_id", "text", "partners")
         sets = texts.mapInArrow(
             _whole_sets(self.k, self.percent, self.classes), "a long, b long, p2 array<long>, p3 array<long>, tokens array<long>"
         )
