@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendspark.llm.frames import keyed, stored
-from lendspark.llm.vocabulary import LATIN, Remembered, latin_class, tokenizer, visible
+from lendspark.llm.vocabulary import LATIN, Remembered, byte_letters, latin_class, tokenizer, visible
 from lendspark.session import scratch_path
 
 #: ids in a block, but a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
+SPACE = byte_letters()[32]
 #: Anything else than the characters whose classes the pattern knows.
 _ODD = re.compile(f"[^\x00-\x1b\x20-{chr(LATIN - 1)}]")
 
@@ -43,6 +44,7 @@ class ByteTokenizer:
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
+        self.tokenize = self.library.model.tokenize  # each ``.model`` makes a new object
         with open(path, encoding="utf-8") as f:
             self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         letters, digits, space = latin_class("L"), latin_class("N"), r"\t-\r \x85\xa0"
@@ -52,10 +54,12 @@ class ByteTokenizer:
         self.pieces = Remembered(self._piece)
 
     def _piece(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.library.model.tokenize(visible(piece))]).tobytes()
+        plain = piece.isascii() and piece.isprintable()  # then the space is the only character shown by another
+        shown = piece.replace(" ", SPACE) if plain else visible(piece)
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
     def _visible_piece(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.library.model.tokenize(piece)]).tobytes()
+        return array("I", [t.id for t in self.tokenize(piece)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -73,8 +77,15 @@ def byte_tokenizer(path: str) -> ByteTokenizer:
     return ByteTokenizer(path)
 
 
+def stored_kind(path: str, end_id: int) -> str:
+    """Two bytes for an id where every id of the vocabulary and the end id fit."""
+    most = max(end_id, *tokenizer(path).get_vocab(with_added_tokens=True).values())
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
 def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(doc_id, crc, n, packed): ids with the end id, zstd-compressed, of every row."""
+    """(doc_id, crc, n, packed): ids with the end id, zstd-compressed in two or four bytes each, of every row."""
+    kind = stored_kind(path, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, press = byte_tokenizer(path), zstandard.ZstdCompressor(level=3)
@@ -85,15 +96,16 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 ids = [tok.encode(t or "") + tail for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([zlib.crc32(i) for i in ids], pa.int64()), pa.array([len(i) // 4 for i in ids], pa.int64()),
-                     pa.array([press.compress(i) for i in ids], pa.binary())],
+                     pa.array([press.compress(np.frombuffer(i, "<u4").astype(kind).tobytes()) for i in ids], pa.binary())],
                     names=["doc_id", "crc", "n", "packed"],
                 )
 
     return keyed(docs, "text").mapInArrow(run, "doc_id long, crc long, n long, packed binary")
 
 
-def _unpacked(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(packed), dtype="<u4")
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    raw = zstandard.decompress(packed)
+    return np.frombuffer(raw, dtype="<u4" if len(raw) == 4 * n else "<u2")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,8 +120,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
     for batch in batches:
-        for packed in batch.column("packed").to_pylist():
-            held.append(_unpacked(packed))
+        for packed, n in zip(batch.column("packed").to_pylist(), batch.column("n").to_pylist(), strict=True):
+            held.append(_unpacked(packed, n))
             size += len(held[-1])
             if size > BLOCK_IDS:
                 add()
@@ -121,7 +133,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def code_book(ids: DataFrame) -> DataFrame:
     """(rank, id, n): ids by falling count, then by id. As many rows as the vocabulary has used ids, at most."""
-    counts = ids.select("packed").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = ids.select("packed", "n").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     return counts.select((F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1).alias("rank"), "id", "n")
 
 
@@ -168,8 +180,8 @@ def write_files(docs: DataFrame, folder: str, path: str, end_id: int) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, size = 0, [], 0
         for batch in batches:
-            for doc_id, packed in zip(batch.column("doc_id").to_pylist(), batch.column("packed").to_pylist(), strict=True):
-                values = _unpacked(packed)
+            for doc_id, packed, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "packed", "n")), strict=True):
+                values = _unpacked(packed, n)
                 if held and size + len(values) > BLOCK_IDS:
                     yield _block(block, held, shared.value)
                     block, held, size = block + 1, [], 0
@@ -179,7 +191,7 @@ def write_files(docs: DataFrame, folder: str, path: str, end_id: int) -> None:
             yield _block(block, held, shared.value)
 
     order = [F.asc_nulls_first("doc_id"), F.asc("crc")]
-    ranged = ids.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "packed")
+    ranged = ids.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "packed", "n")
     blocks = ranged.mapInArrow(run, _BLOCK).withColumn("file", F.spark_partition_id())
     blocks.write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
 
