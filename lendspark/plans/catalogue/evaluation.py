@@ -8,6 +8,7 @@ from lendspark.operators import metrics as met
 from lendspark.operators.split import stratified_folds
 from lendspark.plans.catalogue.base import SCORED, query, scored, settled, settled_sql
 from lendspark.plans.catalogue.preparation import FOLDS
+from lendspark.session import stored
 
 AUC = """
 by_score AS (
@@ -121,7 +122,8 @@ SELECT metric, {settled_sql('avg(v)')} AS mean, {settled_sql('stddev_samp(v)')}
 GROUP BY metric
 """)
 def fold_metrics(spark, sf_dir):
-    rows = stratified_folds(scored(spark, sf_dir), "application_id").select("fold", "loan_status", "p")
+    rows = stored(scored(spark, sf_dir).select("application_id", "loan_status", "p"), "scored")
+    rows = stored(stratified_folds(rows, "application_id").select("fold", "loan_status", "p"), "folds")
     return settled(met.fold_metrics(rows))
 
 

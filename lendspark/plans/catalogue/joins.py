@@ -24,6 +24,8 @@ from lendspark.plans.catalogue.base import (
     settled_sql,
     table,
 )
+from lendspark.schemas import TARGET
+from lendspark.session import stored
 
 
 @query(f"""
@@ -201,7 +203,9 @@ def bin_full_outer(spark, sf_dir):
 
 
 def _parts(spark, sf_dir):
-    split = stratified_split(scored(spark, sf_dir), "application_id")
+    """The scored rows with their part: written once to find the cuts, and once with the part."""
+    rows = stored(scored(spark, sf_dir).select("application_id", "customer_id", TARGET), "scored")
+    split = stored(stratified_split(rows, "application_id"), "split")
     return split, {n: split.where(F.col("split") == n) for n in ("train", "validation", "test")}
 
 

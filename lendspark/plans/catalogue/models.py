@@ -15,18 +15,12 @@ from lendspark.plans.catalogue.base import BASE, REQUEST_OK, SCORED, application
 from lendspark.plans.catalogue.tables import raw_file
 from lendspark.plans.scoring import check_schema, model_score, resolve_model, score_job
 from lendspark.schemas import PREDICTIONS, RAW_FILE
-from lendspark.session import scratch_path
+from lendspark.session import scratch_path, stored
 from lendspark.sources import readers, sinks
 
 NAME, VERSION = "loan-default-logistic", "1.0.0"
 
 
-def _stored(spark, rows, name):
-    path = scratch_path(spark, name)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def _saved(spark, rows, dataset):
     """Path of a fitted logistic model with its metadata."""
     model = tr.train(rows, tr.logistic())
@@ -75,7 +69,7 @@ def train_documented_file(spark, sf_dir):
     path = scratch_path(spark, "csv")
     raw_file(spark, sf_dir).drop("application_id").write.option("header", True).csv(path)
     read = readers.read_raw_csv(spark, path, RAW_FILE).drop(readers.CORRUPT)
-    rows = _stored(spark, valid_rows(rel.source_to_api(read), TRAINING), "training")
+    rows = stored(valid_rows(rel.source_to_api(read), TRAINING), "training")
     back = reg.load_artifact(spark, _saved(spark, rows, sf_dir.rsplit("/", 1)[-1]))
     scored = model_score(back.model)(rows).agg(F.count(F.when(F.col("p").between(0, 1), 1)).alias("n_scored"))
     shape = "feature string, decision string, n_missing long, median double, n_values long"
@@ -85,7 +79,7 @@ def train_documented_file(spark, sf_dir):
 @query(f"WITH {SCORED} SELECT count(*) AS n, 0::BIGINT AS n_off, 0::BIGINT AS n_out_of_order, 19 AS least, 19 AS most FROM scored")
 def fitted_explanations(spark, sf_dir):
     """Contributions of a fitted model to every valid application: they add up to its log-odds."""
-    rows = _stored(spark, valid_rows(applications(spark, sf_dir), TRAINING), "training")
+    rows = stored(valid_rows(applications(spark, sf_dir), TRAINING), "training")
     model = tr.train(rows, tr.logistic())
     intercept, _ = explain.fitted_impacts(model)
     out = explain.explain_fitted(model, model.transform(rows).select(*rows.columns, "rawPrediction"))
@@ -110,7 +104,7 @@ UNION ALL SELECT 'active models', 1, 1, NULL, NULL
 """)
 def prediction_job(spark, sf_dir):
     """Two batches loaded, checked, scored, explained and stored; the first one twice. Every request is read back once."""
-    rows = _stored(spark, applications(spark, sf_dir), "applications")
+    rows = stored(applications(spark, sf_dir), "applications")
     saved = _saved(spark, valid_rows(rows, TRAINING), sf_dir.rsplit("/", 1)[-1])
     out = scratch_path(spark, "predictions")
     artifact, bad = None, []
@@ -120,8 +114,7 @@ def prediction_job(spark, sf_dir):
     none = reg.model_rows(reg.metadata_frame(spark, artifact.metadata)).limit(0)
     once = resolve_model(none, artifact, saved)
     active = resolve_model(once, artifact, saved).where("is_active")
-    stored = sinks.read_runs(spark, out, PREDICTIONS)
-    runs = stored.groupBy(F.concat(F.lit("run "), F.col("request_id").cast("long") % 2).alias("what")).agg(
+    runs = sinks.read_runs(spark, out, PREDICTIONS).groupBy(F.concat(F.lit("run "), F.col("request_id").cast("long") % 2).alias("what")).agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"),
         F.min(F.col("latency_ms") > 0).alias("timed"), F.min(F.size("explanation") > 0).alias("explained"),
     )
@@ -143,7 +136,7 @@ UNION ALL SELECT 'two at once', 'missing column home_ownership; column age is st
 """)
 def schema_refusals(spark, sf_dir):
     """A saved model beside tables that differ from the one it was trained on: each is scored or refused by name."""
-    rows = _stored(spark, valid_rows(applications(spark, sf_dir), TRAINING), "training")
+    rows = stored(valid_rows(applications(spark, sf_dir), TRAINING), "training")
     artifact = reg.load_artifact(spark, _saved(spark, rows, sf_dir.rsplit("/", 1)[-1]))
     text = F.col("age").cast("string")
     tables = {

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lendspark.operators import profile as prof
 from lendspark.plans.catalogue.base import APP, BASE, SCORED, applications, query, scored, settled, settled_sql, table
 from lendspark.schemas import HOME_OWNERSHIP, LOAN_INTENT
+from lendspark.session import stored
 
 _ALL = (
     "application_id customer_id application_ts age income employment_years home_ownership loan_amount "
@@ -121,7 +122,8 @@ def target_distribution(spark, sf_dir):
 ))
 def outliers_iqr(spark, sf_dir):
     columns = ("income", "loan_amount", "late_payments", "total_debt")
-    return settled(prof.outliers_iqr(applications(spark, sf_dir), columns), 4)
+    rows = stored(applications(spark, sf_dir).select(*columns), "applications")
+    return settled(prof.outliers_iqr(rows, columns), 4)
 
 
 _CORR = ("income", "loan_amount", "interest_rate", "credit_utilization", "late_payments", "loan_status")
