@@ -104,3 +104,23 @@ def test_varints():
     raw, size = ranked_search.to_varints(values)
     assert size.tolist() == [1, 1, 1, 2, 2, 3, 6]
     assert ranked_search.from_varints(raw.tobytes()).tolist() == values.tolist()
+
+
+def test_a_shard_is_written_in_bounded_pieces(monkeypatch):
+    """Rows do not depend on the size of a piece, and no batch holds the postings of a whole shard."""
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 60, 400)
+    terms = np.where(rng.random(counts.sum()) < 0.3, 1, rng.integers(2, 900, counts.sum())).astype(np.uint64)
+    ids = pa.array(np.arange(400))
+    whole = pa.Table.from_batches(ranked_search.shard_rows("s", ids, counts, terms))
+    monkeypatch.setattr(ranked_search, "PIECE", 256)
+    pieces = list(ranked_search.shard_rows("s", ids, counts, terms))
+    assert pa.Table.from_batches(pieces).to_pylist() == whole.to_pylist()
+    assert max(sum(b.column("n").to_pylist()) for b in pieces[1:]) <= 256 + ranked_search.BLOCK
+    lists = {t: sorted(set(np.repeat(np.arange(400), counts)[terms == t].tolist())) for t in set(terms.tolist())}
+    assert sum(whole.column("n").to_pylist()[1:]) == sum(map(len, lists.values()))
+    rows = [r for r in whole.to_pylist() if r["term"] == 1]
+    assert [r["block"] for r in rows] == list(range(-(-len(lists[1]) // ranked_search.BLOCK)))
+    for r, at in zip(rows, range(0, len(lists[1]), ranked_search.BLOCK), strict=True):
+        got = ranked_search.from_varints(r["postings"])
+        assert (r["last"] - got[0::2]).tolist() == lists[1][at : at + ranked_search.BLOCK]
