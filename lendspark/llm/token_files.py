@@ -139,24 +139,29 @@ def code_book(ids: DataFrame) -> DataFrame:
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes): two bits of length and one to four bytes for each rank."""
-    ranks = ranks.astype("<u4")
-    lengths = 1 + (ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    codes = np.zeros(-len(ranks) % 4 + len(ranks), dtype=np.uint8)
-    codes[: len(ranks)] = lengths - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
-    places = np.arange(4)[None, :] < lengths[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[places].tobytes()
+    most = int(ranks.max(initial=0))
+    more = np.zeros(-len(ranks) % 4 + len(ranks), dtype=np.uint8)  # bytes after the first
+    for limit in (0xFF, 0xFFFF, 0xFFFFFF):
+        if most > limit:
+            more[: len(ranks)] += ranks > limit
+    control = more[0::4] | more[1::4] << 2 | more[2::4] << 4 | more[3::4] << 6
+    if most <= 0xFF:
+        return control.tobytes(), ranks.astype(np.uint8).tobytes()
+    width = 2 if most <= 0xFFFF else 4
+    places = np.arange(width, dtype=np.uint8) <= more[: len(ranks), None]
+    return control.tobytes(), ranks.astype(f"<u{width}").view(np.uint8)[places.reshape(-1)].tobytes()
 
 
-_LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1  # of the four ranks of a control byte
+_LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)  # of the four ranks of a control byte
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    starts = np.cumsum(lengths) - lengths
-    raw = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(4, np.uint8)])
+    starts = np.cumsum(lengths, dtype=np.int64)
+    starts -= lengths
+    raw = np.frombuffer(data, np.uint8)
     out = raw[starts].astype(np.uint32)
-    for j in range(1, 4):
+    for j in range(1, int(lengths.max(initial=1))):
         more = np.flatnonzero(lengths > j)
         out[more] |= raw[starts[more] + j].astype(np.uint32) << np.uint32(8 * j)
     return out
@@ -224,7 +229,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                 ids = id_of[unpack(row["control"], row["data"], row["n"])]
                 ends = np.cumsum(row["lengths"])
                 begins = ends - np.array(row["lengths"])
-                crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(begins, ends, strict=True)]
+                crcs = [zlib.crc32(ids[a:b]) for a, b in zip(begins, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["file"]] * len(crcs), pa.int32()), pa.array([row["block"]] * len(crcs), pa.int32()), pa.array(row["doc_ids"], pa.int64()),
                      pa.array(begins), pa.array(row["lengths"], pa.int64()), pa.array(crcs, pa.int64())],

@@ -10,8 +10,12 @@ from tokenizers import Tokenizer
 
 #: Distinct pieces that a worker remembers at most.
 REMEMBERED = 500_000
-#: Longer pieces are not remembered, so that a cache of strings has a bound in bytes too.
+#: Longer pieces are not remembered by ``Remembered`` ...
 LONGEST_REMEMBERED = 64
+#: ... which holds about so many bytes at most: rare words come back, and to encode one again takes ten times a look-up.
+REMEMBERED_BYTES = 300 << 20
+#: Bytes that an entry takes beside four for each character: the objects of key and value, and their places.
+ENTRY_BYTES = 150
 #: Up to this code point letters and digits are the same in every Unicode version.
 LATIN = 0x180
 
@@ -50,15 +54,16 @@ class Remembered(dict):
 
     def __init__(self, fn):
         super().__init__()
-        self.fn, self.earlier = fn, {}
+        self.fn, self.earlier, self.held = fn, {}, 0
 
     def __missing__(self, key):
         value = self.earlier.pop(key, None)
         if value is None:
             value = self.fn(key)
         if len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED // 2:
-                self.earlier = dict(self)
+            self.held += ENTRY_BYTES + 4 * len(key)
+            if self.held > REMEMBERED_BYTES // 2:
+                self.earlier, self.held = dict(self), ENTRY_BYTES + 4 * len(key)
                 self.clear()
             self[key] = value
         return value
