@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.llm.components import components
-from lendspark.llm.frames import keyed, stored, text_bytes
+from lendspark.llm.frames import keyed, returned_memory, stored, text_bytes
 from lendspark.llm.words import blocks, distinct_by_text, mix, shingle_hashes, word_hashes
 
 #: Text bytes for each counter of token frequencies: a few tokens share one, at every size of the corpus ...
@@ -41,7 +41,7 @@ BYTES_A_COUNTER = 16
 WIDEST = 26
 SLICES = 64
 #: Tokens that a task sorts and counts at once.
-TOKENS_AT_ONCE = 1 << 22
+TOKENS_AT_ONCE = 1 << 20
 #: Bits for each shared token in the filter that keeps tokens of one document out of the shuffle, up to 2**29 bits
 #: (64 MB). What it lets through is joined exactly.
 BITS_A_TOKEN = 32
@@ -109,7 +109,7 @@ def frequency_classes(docs: DataFrame, k: int):
     """Broadcast table of log2 of the token counts, sized by the text, 64 MB at most."""
     text_size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     width = _width(text_size // BYTES_A_COUNTER, 16, WIDEST)
-    sums = docs.select("text").mapInArrow(_count(k, width), "slice int, counts binary").groupBy("slice")
+    sums = docs.select("text").mapInArrow(returned_memory(_count(k, width)), "slice int, counts binary").groupBy("slice")
     table = np.zeros((SLICES, (1 << width) // SLICES), dtype=np.uint8)
     for r in sums.applyInPandas(_add(width), "slice int, classes binary").collect():
         table[r["slice"]] = np.frombuffer(zstandard.decompress(r["classes"]), dtype=np.uint8)
@@ -233,7 +233,7 @@ class JaccardJoin:
         self.classes = frequency_classes(self.docs, k)
         self.rows = stored(
             self.docs.mapInArrow(
-                _signatures(k, percent, self.classes), "doc_id long, n int, s1 long, s2 long, prefix array<long>"
+                returned_memory(_signatures(k, percent, self.classes)), "doc_id long, n int, s1 long, s2 long, prefix array<long>"
             ),
             "shingles",
         )
@@ -255,7 +255,7 @@ class JaccardJoin:
         few = pairs.count() <= BROADCAST_PAIRS
         texts = self.docs.join(F.broadcast(ends) if few else ends, F.col("doc_id") == F.col("b")).select("doc_id", "text", "partners")
         sets = texts.mapInArrow(
-            _whole_sets(self.k, self.percent, self.classes), "a long, b long, p2 array<long>, p3 array<long>, tokens array<long>"
+            returned_memory(_whole_sets(self.k, self.percent, self.classes)), "a long, b long, p2 array<long>, p3 array<long>, tokens array<long>"
         )
         sets = stored(sets, "candidate-sets")
         pivot = sets.where("a = b").select("a", F.col("p2").alias("a2"), F.col("p3").alias("a3"), F.col("tokens").alias("x"))
@@ -270,11 +270,11 @@ class JaccardJoin:
         tokens = stored(first.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared-tokens")
         width = _width(tokens.count() * BITS_A_TOKEN, 16, WIDEST_FILTER)
         table = np.zeros((SLICES, (1 << (width - 3)) // SLICES), dtype=np.uint8)
-        marks = tokens.mapInArrow(_bits(width), "slice int, counts binary").groupBy("slice")
+        marks = tokens.mapInArrow(returned_memory(_bits(width)), "slice int, counts binary").groupBy("slice")
         for r in marks.applyInPandas(_any(width), "slice int, classes binary").collect():
             table[r["slice"]] = np.frombuffer(r["classes"], dtype=np.uint8)
         bits = self.docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
-        posts = first.mapInArrow(_repeated(bits), "id long, n int, pos int, token long").join(tokens, "token", "left_semi")
+        posts = first.mapInArrow(returned_memory(_repeated(bits)), "id long, n int, pos int, token long").join(tokens, "token", "left_semi")
         posts = stored(posts, "shared-prefixes")
         pivots = posts.groupBy("token").agg(F.min(F.struct("id", "n", "pos")).alias("pivot"))
         return posts.join(pivots, "token")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendspark.llm.frames import keyed, remainder, stored, text_bytes
+from lendspark.llm.frames import keyed, remainder, returned_memory, stored, text_bytes
 from lendspark.llm.words import blocks, mix, word_hashes
 
 BITS = 20
@@ -88,7 +88,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             by = np.argsort(owner, kind="stable")
             cuts = np.searchsorted(owner[by], np.arange(len(texts) + 1))
             for i in range(len(texts)):
-                at = np.unique(place[by[cuts[i] : cuts[i + 1]]])
+                at = np.unique(place[by[cuts[i] : cuts[i + 1]]]).astype(np.int32)
                 rows.append((at, int(labels[start + i])))
                 order.append((int(ids[start + i]), len(at)))
     if len({label for _, label in rows}) < 2:
@@ -117,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     labelled = keyed(docs, "text").join(chosen, "doc_id")
     first = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")
     rows = labelled.groupBy("doc_id", "toxic").agg(first).select("doc_id", "first.text", "toxic")
-    learned = rows.coalesce(1).mapInArrow(_train, "place long, weight double").collect()
+    learned = rows.coalesce(1).mapInArrow(returned_memory(_train), "place long, weight double").collect()
     if not learned:
         return constant
     w = {r["place"]: r["weight"] for r in learned}
@@ -144,7 +144,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 total = bias + np.bincount(once >> BITS, weights=table[once & ((1 << BITS) - 1)], minlength=len(texts))
                 yield pa.RecordBatch.from_arrays([ids.slice(start, len(texts)), pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))], names=["doc_id", "score"])
 
-    return keyed(docs, "text").mapInArrow(run, "doc_id long, score double")
+    return keyed(docs, "text").mapInArrow(returned_memory(run), "doc_id long, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
