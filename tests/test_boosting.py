@@ -34,9 +34,9 @@ def matrix(spark):
 
 
 def _grown(est, matrix, tasks):
-    spec = boosting.specification(est, boosting.thresholds(est, matrix))
-    start = est.copy({est.maxIter: 1}).fit(matrix)
-    return boosting.assembled(est, start, spec, boosting.trees(est, matrix, spec, tasks))
+    found = boosting.thresholds(est, matrix)
+    spec, start = boosting.specification(est, found), est.copy({est.maxIter: 1}).fit(matrix)
+    return boosting.assembled(est, start, spec, boosting.trees(boosting.blocks(est, matrix, found), spec, tasks))
 
 
 def _margins(model, rows):
@@ -51,16 +51,22 @@ def _text(tree):
 def test_random_numbers_are_the_librarys(spark):
     for seed, n in ((43, 1000), (-7, 1), (2**40, 3)):
         theirs = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed)
-        assert boosting._Lanes(n).doubles(seed).tolist() == [theirs.nextDouble() for _ in range(n)]
+        assert boosting.Draws(n).doubles(seed).tolist() == (first := [theirs.nextDouble() for _ in range(n)])
+        assert boosting.Draws(n - n // 3, n // 3).doubles(seed).tolist() == first[n // 3 :]
     theirs, ours = spark._jvm.java.util.Random(7), boosting._JavaRandom(7)
     assert [theirs.nextLong() % 2**64 for _ in range(5)] == [ours.long() for _ in range(5)]
 
 
 @pytest.mark.parametrize("weight", [None, "weight"])
-@pytest.mark.parametrize("tasks", [1, 2])
-def test_trees_are_the_librarys(matrix, weight, tasks):
-    est = tr.boosted(weight, n_estimators=8, max_depth=3, min_child_weight=20)
-    theirs, ours = est.fit(matrix), _grown(est, matrix, tasks)
+@pytest.mark.parametrize("tasks", [1, 2, 3])
+def test_trees_are_the_librarys(matrix, weight, tasks, monkeypatch):
+    monkeypatch.setattr(boosting, "PIECE", 500 * tasks)
+    est, conf, size = tr.boosted(weight, n_estimators=8, max_depth=3, min_child_weight=20), matrix.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf.set(size, "700")
+    try:
+        theirs, ours = est.fit(matrix), _grown(est, matrix, tasks)
+    finally:
+        conf.unset(size)
     first = theirs.trees[0], ours.trees[0]
     shape = [re.sub(r"Predict: \S+", "", _text(t)) for t in first]
     assert shape[0] == shape[1] and (weight or _text(first[0]) == _text(first[1]))
@@ -80,7 +86,7 @@ def test_parameters_mean_what_they_mean_to_the_library(matrix, given):
 def test_scores_without_a_model_are_the_models(matrix):
     est = tr.boosted(n_estimators=5, max_depth=3)
     found = boosting.thresholds(est, matrix)
-    grown = boosting.trees(est, matrix, boosting.specification(est, found), 1)
+    grown = boosting.trees(boosting.blocks(est, matrix, found), boosting.specification(est, found), 1)
     got = [r.p for r in boosting.scored(matrix, est, found, grown).collect()]
     assert got == pytest.approx((1 / (1 + np.exp(-2 * _margins(_grown(est, matrix, 1), matrix)))).tolist(), abs=1e-9)
 
